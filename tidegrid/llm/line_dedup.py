@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.runtime import settle
+
 BLANKS = "\t\n\x0b\x0c\r "
 
 
@@ -45,6 +47,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(least.alias("_id"), F.xxhash64(text).alias("_same"), F.split(text, "\n").alias("_lines"))
     lines = rows.select("_id", "_same", F.posexplode(F.transform("_lines", lambda x: line_key(x, min_chars))).alias("_at", "_key")).where("_key IS NOT NULL").select("_id", "_same", "_at", "_key.h1", "_key.h2")
     drop = lines.groupBy("h1", "h2").agg(F.count_distinct("_id").alias("_n"), F.max("_id").alias("_last")).where(F.col("_n") >= min_docs).select("h1", "h2", "_last")
+    # Written out, so that both sides of the join come straight from a shuffle: only then can a hot line's rows be split among tasks.
+    drop = settle(drop)
     gone = lines.join(drop.hint("merge"), ["h1", "h2"]).where("_id < _last").groupBy("_id", "_same").agg(F.sort_array(F.collect_set("_at")).alias("_gone"))
     whole = docs.withColumn("_text", text).withColumn("_id", least).withColumn("_same", F.xxhash64("_text"))
     joined = whole.join(gone.hint("merge"), ["_id", "_same"], "left").withColumn("_lines", F.split("_text", "\n"))
