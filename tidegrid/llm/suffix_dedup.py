@@ -240,6 +240,8 @@ def repeated_ranges(rows: DataFrame, length: int, keep: str, hot: int = HOT) ->
     """(_id, _th, start, many): the starts of strings to remove; ``rows`` has _id, _th and _text."""
     found = rows.mapInArrow(find_contexts(length), "_id bigint, _th bigint, anchor bigint, context bigint, start int, many int")
     often = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("several"))
+    # Written out, so that both sides of the join come straight from a shuffle: only then can a hot anchor's rows be split among tasks.
+    often = runtime.settle(often)
     hits = runtime.settle(found.join(often.hint("merge"), "anchor"))
     each = runtime.settle(hits.groupBy("anchor", "context").agg(F.count("*").alias("copies"), F.first("several").alias("several"), F.min(F.struct("_id", "_th", "start", "many")).alias("r")))
     each = each.select("anchor", "context", F.col("copies").cast("int").alias("copies"), "several", "r.*")
