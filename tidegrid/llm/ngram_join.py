@@ -212,6 +212,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     prefix = rows.select("_text").mapInArrow(prefixes(n, threshold, counts), "gram bigint, c bigint, size int, at int")
     leads = prefix.groupBy("gram").agg(F.min("c").alias("_low"), F.max("c").alias("_high"), F.min(F.struct("at", "size", "c")).alias("lead")).where("_low <> _high").select("gram", "lead")
+    # Written out, so that both sides of the join come straight from a shuffle: only then can a hot n-gram's rows be split among tasks.
+    leads = runtime.settle(leads)
     shared = runtime.settle(prefix.join(leads.hint("merge"), "gram").select("gram", "c", "size", "at", F.col("lead.c").alias("l_c"), F.col("lead.size").alias("l_size"), F.col("lead.at").alias("l_at")).distinct())
 
     def linked(pairs: DataFrame) -> DataFrame:
