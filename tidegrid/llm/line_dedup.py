@@ -6,7 +6,8 @@ one that adaptive execution splits, and dropped positions go back by document).
 
 Defined results: a null text is an empty one and has one empty line; a null id counts as smaller
 than every other id and rows with it are one document; rows with the same id are one document;
-rows that repeat in id and text get the same result.  Other columns are kept as they are.
+rows that repeat in id and text get the same result.  Other columns are kept as they are, but for n_lines and
+n_dropped, which the operator's own replace.
 """
 
 from __future__ import annotations
@@ -50,7 +51,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Written out, so that both sides of the join come straight from a shuffle: only then can a hot line's rows be split among tasks.
     drop = settle(drop)
     gone = lines.join(drop.hint("merge"), ["h1", "h2"]).where("_id < _last").groupBy("_id", "_same").agg(F.sort_array(F.collect_set("_at")).alias("_gone"))
-    whole = docs.withColumn("_text", text).withColumn("_id", least).withColumn("_same", F.xxhash64("_text"))
+    # The row travels as a struct, so that no column of the table clashes with one of the operator's.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("_row") if len(docs.columns) > 1 else F.struct(F.lit(0)).alias("_row"), text.alias("_text"), least.alias("_id"), F.xxhash64(text).alias("_same"))
     joined = whole.join(gone.hint("merge"), ["_id", "_same"], "left").withColumn("_lines", F.split("_text", "\n"))
     # The stretches between dropped positions, in order: linear in the number of lines.
     edges = F.concat(F.array(F.lit(-1)), F.col("_gone"), F.array(F.size("_lines")))
@@ -58,7 +60,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(between, "\n"))
     out = joined.withColumn("_edges", F.when(F.col("_gone").isNotNull(), edges)).withColumn("_kept", kept)
     return out.select(
-        *(F.col("_kept").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")),
+        *(F.col("_kept").alias(text_col) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")),
         F.size("_lines").cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
 

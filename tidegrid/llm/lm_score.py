@@ -135,7 +135,7 @@ def log_probabilities(net: dict[str, np.ndarray], tokens: np.ndarray, first: np.
     return out
 
 
-def learn(net: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, rate: float, batch: int = 512) -> None:
+def learn(net: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, rate: float, batch: int = 128) -> None:
     """One pass of gradient descent over the given targets and their neighbours, in place."""
     group, inner = np.divmod(tokens.astype(np.int64), IN_CLASS)
     for a in range(0, len(tokens), batch):
@@ -192,7 +192,7 @@ def train_partition(token, start, stride: int, rate: float):
     return run
 
 
-def fit(docs: DataFrame, text_col: str = "text", stride: int = 8, rate: float = 4.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, text_col: str = "text", stride: int = 8, rate: float = 1.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """The token of each bucket, and the parameters."""
     runtime.ship(__name__, textcore.__name__, runtime.__name__)
     context = docs.sparkSession.sparkContext

@@ -13,7 +13,7 @@ only if it has at most ``BROADCAST_SOURCES`` rows.
 Defined results: null text has size 0; null sources are one source, ranked last; the random key comes
 from the id and the seed, so that reruns agree; rows with the same id in a source are taken together
 or not at all; documents of size 0 are never taken; an empty table gives an empty result.  Other
-columns are kept as they are.
+columns are kept as they are, but for those that have the names of the operator's own.
 """
 
 from __future__ import annotations
@@ -59,7 +59,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_times: int) -
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = (1, 2, 3), max_times: int = 3, seed: int = 17) -> DataFrame:
     """``docs`` with size, source_size, target (of its source, in words), copies and taken (copies * size)."""
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    sized = docs.select(*(F.col(f"`{c}`") for c in own), word_count(F.col(f"`{text_col}`")).alias("size"), F.col(f"`{source_col}`").alias("_source"), F.col(f"`{id_col}`").alias("_id"))
+    # The row travels as a struct, so that no column of the table clashes with one of the operator's.
+    sized = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_row"), word_count(F.col(f"`{text_col}`")).alias("size"), F.col(f"`{source_col}`").alias("_source"), F.col(f"`{id_col}`").alias("_id"))
     thin = docs.select(word_count(F.col(f"`{text_col}`")).alias("size"), F.col(f"`{source_col}`").alias("_source"), F.col(f"`{id_col}`").alias("_id"))
     targets = settle(source_targets(thin, weights, max_times))
     small = targets.count() <= BROADCAST_SOURCES
@@ -105,7 +106,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     extra = settle(extra.select(F.col("_source").alias("_s"), F.col("_more._k").alias("_k"), F.col("_more._i").alias("_i"), F.lit(True).alias("_found")))
     out = chosen(known(sized)).join(hint(extra), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_i")), "left")
     copies = F.when(F.col("size") > 0, F.col("_whole") + (F.col("_in") | F.coalesce("_found", F.lit(False))).cast("long")).otherwise(F.lit(0)).cast("long")
-    return out.select(*(F.col(f"`{c}`") for c in own), "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select(*(F.col("_row")[c].alias(c) for c in own), "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

@@ -268,7 +268,9 @@ def join_digest(docs: DataFrame) -> DataFrame:
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: Fraction | float = Fraction(4, 5)) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id.  Rows without an id stay, once for each text."""
     member, _ = similar_documents(docs, id_col, text_col, n, threshold)
-    gone = member.where(F.col("component_id").isNotNull() & (F.col(id_col) != F.col("component_id"))).select(F.col(id_col).alias("_id"), "_th").distinct()
+    gone = member.where(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_id"), "_th").distinct()
     own = docs.columns
-    tagged = docs.select(*(F.col(f"`{c}`") for c in own), F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_th"))
-    return tagged.join(gone.hint("merge"), ["_id", "_th"], "left_anti").dropDuplicates(["_id", "_th"]).select(*(F.col(f"`{c}`") for c in own))
+    # The row travels as a struct, so that no column of the table clashes with one of the operator's.
+    tagged = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_th"))
+    kept = tagged.join(gone.hint("merge"), ["_id", "_th"], "left_anti").dropDuplicates(["_id", "_th"])
+    return kept.select(*(F.col("_row")[c].alias(c) for c in own))
