@@ -77,12 +77,21 @@ def across(near: Column, far: Column, p: G.Point, offset: Column, theta: Column)
     return s, 1 + G.dot(G.minus(p, foot), r) / G.dot(r, r)
 
 
-def place_below(near: Column, far: Column, x: Column, w: Column, offset: Column, theta: Column, low: Column, high: Column, step: float = 0.02) -> Column:
-    """The world place, on a grid from low to high, at which the lane at lateral position w passes the abscissa x: the first change of sign, refined by a secant."""
-    grid = F.sequence(F.lit(0), F.floor((high - low) / step).cast("int"))
-    miss = lambda i: lane_point(near, far, low + i * step, w, offset, theta)[0] - x
-    signs = F.transform(grid, lambda i: F.struct(i.alias("i"), miss(i).alias("f")))
-    return F.when(high > low, first_root(signs, low, F.lit(step)))
+def place_below(near: Column, far: Column, x: Column, w: Column, offset: Column, theta: Column, low: Column, high: Column) -> Column:
+    """The world place between low and high at which the lane at lateral position w passes the abscissa x.
+
+    For a fixed w the lane is a straight line on which the place along the row is linear, so that two of its points give the root."""
+    t, angle = direction(far), F.radians(theta)
+    d = (F.cos(angle) * t[0] + F.sin(angle) * t[1], F.cos(angle) * t[1] - F.sin(angle) * t[0])
+
+    def abscissa(u: Column) -> Column:
+        px, py = far["x"] + u * t[0], far["y"] + u * t[1]
+        qx, _, _ = G.cross_line((px, py), d, start_of(near), direction(near))
+        return w * px + (1 - w) * qx
+
+    first, second = abscissa(F.lit(0.0)), abscissa(F.lit(1.0))
+    s = number_at(far, (x - first) / (second - first)) + offset
+    return F.when(s.between(low, high), s)
 
 
 def first_root(values: Column, low: Column, step: Column) -> Column:

@@ -754,6 +754,111 @@ def frm2_update_field(spark, sf):
     return panel.update_field(o, new, ["o_orderkey"], "o_totalprice")
 
 
+# ---- the lane
+
+#: Two level rows of marks 100 px apart, 40 px between marks; offsets and angles vary by event.
+NEAR = "named_struct('x', 0.0D, 'y', 500.0D, 'dx', 1.0D, 'dy', 0.0D, 'a', 40.0D, 'b', 0.0D, 'c', 0.0D, 'resid', 0.01D)"
+FAR = "named_struct('x', 0.0D, 'y', 400.0D, 'dx', 1.0D, 'dy', 0.0D, 'a', 40.0D, 'b', 0.0D, 'c', 0.001D, 'resid', 0.02D)"
+
+
+def lane(spark: SparkSession, sf: str) -> DataFrame:
+    return numbered(spark, sf).withColumn("near", F.expr(NEAR)).withColumn("far", F.expr(FAR)).withColumn("theta", 90.0 - F.col("value") / 20)
+
+
+@query(f"""WITH {EVENTS} SELECT event_id, round(value / (40 - 0.001::DOUBLE * value), 6) AS s, round((40.0 * i) / (0.001::DOUBLE * i + 1), 6) AS x, i % 3 <> 0 AS usable FROM e""")
+def geo1_geo2_rows(spark, sf):
+    df = lane(spark, sf)
+    rows = F.array(F.col("near"), F.when(F.col("i") % 3 == 0, F.col("far").withField("resid", F.lit(0.5))).otherwise(F.col("far")))
+    return df.select("event_id", r(lanes.below(F.col("far"), F.col("value"))).alias("s"), r(lanes.point_at(F.col("far"), F.col("i").cast("double"))[0]).alias("x"), lanes.usable(rows).alias("usable"))
+
+
+@query(f"""WITH {EVENTS}, a AS (SELECT event_id, (40.0 * (i % 30)) / (0.001::DOUBLE * (i % 30) + 1) AS u, radians(90 - value / 20) AS th FROM e)
+SELECT event_id, round(100 * cos(th) / sin(th), 5) AS dx, -100.0::DOUBLE AS dy, round(u - 0.75 * 100 * cos(th) / sin(th), 5) AS px, 475.0::DOUBLE AS py FROM a""")
+def geo3_lane_points(spark, sf):
+    s = (F.col("i") % 30).cast("double")
+    df, args = lane(spark, sf), (F.col("near"), F.col("far"), s)
+    d = lanes.rung(*args, F.lit(0.0), F.col("theta"))
+    p = lanes.lane_point(*args, F.lit(0.25), F.lit(0.0), F.col("theta"))
+    return df.select("event_id", r(d[0], 5).alias("dx"), r(d[1], 3).alias("dy"), r(p[0], 5).alias("px"), r(p[1], 3).alias("py"))
+
+
+@query(f"""WITH {EVENTS} SELECT event_id, round((i % 30)::DOUBLE, 4) AS s_through, 0.25::DOUBLE AS w, round((i % 30)::DOUBLE, 3) AS s_below FROM e""")
+def geo4_win24_inverse(spark, sf):
+    s = (F.col("i") % 30).cast("double")
+    df, zero, theta = lane(spark, sf), F.lit(0.0), F.col("theta")
+    p = lanes.lane_point(F.col("near"), F.col("far"), s, F.lit(0.25), zero, theta)
+    through, w = lanes.across(F.col("near"), F.col("far"), p, zero, theta)
+    under = lanes.place_below(F.col("near"), F.col("far"), p[0], F.lit(0.25), zero, theta, F.lit(-3.013), F.lit(33.0))
+    return df.select("event_id", r(through, 4).alias("s_through"), r(w, 4).alias("w"), r(under, 3).alias("s_below"))
+
+
+@query(f"""WITH {EVENTS}, h AS (SELECT user_id, value * 20 AS u, 90 - value / 50 AS angle FROM e),
+d AS (SELECT *, coalesce(CAST(u - lag(u) OVER w > 25.1 AS INTEGER), 0) AS n FROM h WINDOW w AS (PARTITION BY user_id ORDER BY u, angle)), c AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY u, angle) AS c FROM d),
+m AS (SELECT user_id, c, median(u) AS u, median(angle) AS angle FROM c GROUP BY 1, 2)
+SELECT user_id, round(u, 4) AS u, round(angle, 4) AS angle FROM m QUALIFY abs(angle - median(angle) OVER (PARTITION BY user_id)) < 20""")
+def geo5_line_hits(spark, sf):
+    e = lane(spark, sf).select("user_id", "far", (F.col("value") * 20).alias("u"), F.radians(90 - F.col("value") / 50).alias("th"))
+    lines = e.select("user_id", "far", "u", (F.col("u") + 10 * F.cos("th")).alias("x0"), (400 - 10 * F.sin("th")).alias("y0"), (F.col("u") + 110 * F.cos("th")).alias("x1"), (400 - 110 * F.sin("th")).alias("y1"))
+    return lanes.line_hits(lines, KEY, "far", ("x0", "y0", "x1", "y1"), apart=25.1).select("user_id", r("u", 4).alias("u"), r("angle", 4).alias("angle"))
+
+
+@query(f"""WITH {EVENTS}, h AS (SELECT user_id, value AS u, 80 + value / 7 + i / 9.0 AS angle FROM e WHERE event_type = 'click' AND i < 20), f AS (SELECT user_id, count(*) AS n, regr_slope(angle, u) AS s, regr_intercept(angle, u) AS c, min(u) AS lo, max(u) AS hi, avg(angle) AS one FROM h GROUP BY 1),
+k AS (SELECT user_id, 1000.0::DOUBLE AS u FROM e GROUP BY 1)
+SELECT k.user_id, round(CASE WHEN n = 1 THEN one WHEN n > 1 THEN s * greatest(lo - 300, least(hi + 300, k.u)) + c END, 4) AS theta FROM k LEFT JOIN f ON k.user_id = f.user_id""")
+def geo6_angle_at(spark, sf):
+    e = numbered(spark, sf)
+    h = e.where("event_type = 'click' AND i < 20").select("user_id", F.col("value").alias("u"), (80 + F.col("value") / 7 + F.col("i") / 9.0).alias("angle"))
+    return lanes.angle_at(h, KEY, e.select("user_id").distinct().withColumn("at", F.lit(1000.0)), "at").select("user_id", r("theta", 4).alias("theta"))
+
+
+@query(f"""WITH {EVENTS}, c AS (SELECT user_id, i, value AS n, value + 1 AS f, 20.0::DOUBLE AS hands FROM e), s AS (SELECT * FROM c WHERE abs(n - hands) < 5.5), o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY i, n, f) AS o FROM s),
+p AS (SELECT a.user_id, a.o, count(DISTINCT b.i) AS k, median(b.f) AS m FROM o a JOIN o b ON a.user_id = b.user_id AND abs(a.n - b.n) < 0.1 GROUP BY 1, 2),
+q AS (SELECT user_id, max(k) AS k, arg_max(m, (k, -o)) AS m FROM p GROUP BY 1)
+SELECT u.user_id, round(m, 5) AS s_start, coalesce(k, 0) AS start_support FROM (SELECT DISTINCT user_id FROM e) u LEFT JOIN q ON u.user_id = q.user_id""")
+def geo7_start_line(spark, sf):
+    m = numbered(spark, sf).select("user_id", "i", F.col("value").alias("near"), (F.col("value") + 1).alias("far"), F.lit(20.0).alias("hands"))
+    return lanes.start_line(m, KEY, "i", "near", "far", "hands", 5.5).select("user_id", r("s_start", 5).alias("s_start"), F.col("start_support").cast("bigint").alias("start_support"))
+
+
+@query(f"""WITH {EVENTS} SELECT event_id, 300 + value * 3 BETWEEN 340 AND 560 AS inside FROM e""")
+def geo8_between_rows(spark, sf):
+    return lane(spark, sf).select("event_id", lanes.between_rows(F.col("near"), F.col("far"), (F.lit(50.0), 300 + F.col("value") * 3)).alias("inside"))
+
+
+@query(f"""WITH {EVENTS} SELECT event_id, round(CASE WHEN value >= 30 THEN i + 11.5 ELSE 50 END, 4) AS hx, value >= 30 AS sure, CASE WHEN value >= 30 THEN round(i + 11.5, 4) END AS hip FROM e""")
+def geo9_geo13_body(spark, sf):
+    e = numbered(spark, sf)
+    points = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda j: F.struct((F.col("i") + j).cast("double").alias("x"), j.cast("double").alias("y"), (F.col("value") / 100).alias("conf")))
+    box = F.array(*(F.lit(float(v)) for v in (0, 0, 100, 200)))
+    core = lanes.body_core(points, box)
+    return e.select("event_id", r(core["hx"], 4).alias("hx"), core["sure"].alias("sure"), r(lanes.midpoint_if_sure(points, 11, 12)["x"], 4).alias("hip"))
+
+
+@query(f"WITH {EVENTS} SELECT user_id, round(median(gappy), 5) AS w_run FROM e GROUP BY 1")
+def geo10_lateral_position(spark, sf):
+    return lanes.lateral_position(events(spark, sf), KEY, "gappy").withColumn("w_run", r("w_run", 5))
+
+
+@query()
+def geo14_smooth_angles(spark, sf):
+    return lanes.smooth_angles(numbered(spark, sf), KEY, "i", "gappy").select("event_id", r("theta_smooth").alias("theta_smooth"))
+
+
+@query()
+def geo15_win28_ml4_index_rows(spark, sf):
+    e = numbered(spark, sf).where("i <= 12")
+    place = lambda u, y: (F.col("i") * 40.0 / (1 + 0.002 * F.col("i")) + u, F.lit(y) + F.col("i") * 0.5)
+    rows = [e.select("user_id", place(u, y)[0].alias("x"), place(u, y)[1].alias("y"), F.lit(1.0).alias("theta"), F.lit(12.0).alias("length")) for u, y in ((0.0, 400.0), (15.0, 520.0))]
+    return kernels.index_rows(rows[0].unionByName(rows[1]), KEY).select("user_id", "place", "marks", r("dx", 4).alias("dx"), r("resid", 3).alias("resid"))
+
+
+@query()
+def win21_track(spark, sf):
+    e = numbered(spark, sf)
+    one = lambda n, x, inside: e.select("user_id", F.col("i").cast("int").alias("frame"), F.lit(n).alias("number"), (x + F.col("i") * 3.0).alias("hx"), F.lit(300.0).alias("hy"), (x + F.col("i") * 3.0 + 5).alias("sx"), F.lit(240.0).alias("sy"), F.lit(True).alias("sure"), (x + F.col("i") * 3.0 - 30).alias("x0"), F.lit(200.0).alias("y0"), (x + F.col("i") * 3.0 + 30).alias("x1"), F.lit(400.0).alias("y1"), F.lit(False).alias("off"), F.lit(inside).alias("inside"), F.lit(10.0).alias("k0"), F.lit(90).alias("last"))
+    return kernels.track_bodies(one(0, F.lit(500.0), 0).unionByName(one(1, F.lit(100.0), 4)), KEY).select("user_id", "frame", "number")
+
+
 # ---- kernels, streaming
 
 
@@ -782,6 +887,13 @@ def win20_repair_slips(spark, sf):
     return kernels.repair_offsets(e, KEY, "i", "offset", "below", "ref").select("user_id", "frame", "offset")
 
 
+@query(f"""WITH {EVENTS}, d AS (SELECT user_id, ts, coalesce(CAST(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 1 HOUR AS INTEGER), 0) AS n FROM events),
+c AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts) AS c FROM d) SELECT user_id, min(ts) AS start, count(*) AS n FROM c GROUP BY user_id, c""")
+def str_sessions(spark, sf):
+    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return detect.sessions(e, "user_id", "ts", "1 hour").select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
 @query("SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def str_tumbling(spark, sf):
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
