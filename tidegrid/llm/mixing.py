@@ -62,6 +62,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     # The row travels as a struct, so that no column of the table clashes with one of the operator's.
     sized = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_row"), word_count(F.col(f"`{text_col}`")).alias("size"), F.col(f"`{source_col}`").alias("_source"), F.col(f"`{id_col}`").alias("_id"))
     thin = docs.select(word_count(F.col(f"`{text_col}`")).alias("size"), F.col(f"`{source_col}`").alias("_source"), F.col(f"`{id_col}`").alias("_id"))
+    thin = settle(thin)  # words are counted once: all that follows needs a few numbers for each document
     targets = settle(source_targets(thin, weights, max_times))
     small = targets.count() <= BROADCAST_SOURCES
     hint = F.broadcast if small else (lambda df: df)
