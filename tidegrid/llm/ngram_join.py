@@ -211,10 +211,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = own.where("size > 0").groupBy("c").agg(F.min(F.struct("_id", "_th", "size", "bins")).alias("r")).select("c", "r._id", "r._th", "r.size", "r.bins")
 
     prefix = rows.select("_text").mapInArrow(prefixes(n, threshold, counts), "gram bigint, c bigint, size int, at int")
-    leads = prefix.groupBy("gram").agg(F.min("c").alias("_low"), F.max("c").alias("_high"), F.min(F.struct("at", "size", "c")).alias("lead")).where("_low <> _high").select("gram", "lead")
-    # Written out, so that both sides of the join come straight from a shuffle: only then can a hot n-gram's rows be split among tasks.
-    leads = runtime.settle(leads)
-    shared = runtime.settle(prefix.join(leads.hint("merge"), "gram").select("gram", "c", "size", "at", F.col("lead.c").alias("l_c"), F.col("lead.size").alias("l_size"), F.col("lead.at").alias("l_at")).distinct())
+    # A count alone travels first; what is known of a group's members is gathered once n-grams that occur in one place are gone.
+    # Both tables are written out, so that joins come straight from a shuffle: only then can a hot n-gram's rows be split among tasks.
+    often = runtime.settle(prefix.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
+    places = runtime.settle(prefix.join(often.hint("merge"), "gram").distinct())
+    leads = places.groupBy("gram").agg(F.min("c").alias("_low"), F.max("c").alias("_high"), F.min(F.struct("at", "size", "c")).alias("lead")).where("_low <> _high").select("gram", F.col("lead.c").alias("l_c"), F.col("lead.size").alias("l_size"), F.col("lead.at").alias("l_at"))
+    shared = runtime.settle(places.join(runtime.settle(leads).hint("merge"), "gram"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar enough."""
