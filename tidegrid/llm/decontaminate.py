@@ -27,7 +27,7 @@ Q = 8
 #: Edits allowed for each character of an item.
 EDITS = 0.1
 BLOCK_CHARS = 4_000_000
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 FILTER_BITS = 22
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -180,7 +180,7 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, edits: float) ->
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS) -> DataFrame:
     """A row for each document and item that it holds: the id, the item, start, end (in normalised text) and edits."""
-    runtime.ship(__name__)
+    runtime.prepare(docs, __name__)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     kind, item_kind = rows.schema["_id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     schema = f"_id {kind}, _item {item_kind}, start bigint, end bigint, edits bigint"
@@ -203,7 +203,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS) -> DataFrame:
     """``docs`` without those that hold an item; no shuffle."""
-    runtime.ship(__name__)
+    runtime.prepare(docs, __name__)
     at = docs.columns.index(text_col)
     for index in blocks(benchmark, item_col, item_text_col, edits):
         sent = docs.sparkSession.sparkContext.broadcast(index)

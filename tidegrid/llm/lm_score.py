@@ -51,7 +51,7 @@ def count_words(batches):
         data, offsets = textcore.column_bytes(batch.column(0))
         for i, j in textcore.chunks(offsets):
             hashes, _ = words_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            counts += np.bincount(slot(hashes), minlength=BUCKETS)
+            np.add.at(counts, slot(hashes), 1)
     if counts.any():
         blocks = runtime.pack(counts)
         salt = (TaskContext.get().partitionId() if TaskContext.get() else 0) % 64
@@ -194,7 +194,7 @@ def train_partition(token, start, stride: int, rate: float):
 
 def fit(docs: DataFrame, text_col: str = "text", stride: int = 8, rate: float = 1.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """The token of each bucket, and the parameters."""
-    runtime.ship(__name__, textcore.__name__, runtime.__name__)
+    runtime.prepare(docs, __name__, textcore.__name__, runtime.__name__)
     context = docs.sparkSession.sparkContext
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"))
     counts = runtime.add_arrays(texts.mapInArrow(count_words, "block int, salt int, payload binary"), BUCKETS, "int64")
@@ -211,7 +211,7 @@ def fit(docs: DataFrame, text_col: str = "text", stride: int = 8, rate: float =
 
 def score(docs: DataFrame, fitted: tuple[np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id, n_tokens, log_prob (the sum) and mean_log_prob."""
-    runtime.ship(__name__, textcore.__name__, runtime.__name__)
+    runtime.prepare(docs, __name__, textcore.__name__, runtime.__name__)
     sent = docs.sparkSession.sparkContext.broadcast(fitted)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
 

@@ -97,7 +97,7 @@ def survey(n: int):
             parts = []
             for i, j in textcore.chunks(offsets):
                 keys, text = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
-                counts += np.bincount(slot(keys), minlength=BUCKETS)
+                np.add.at(counts, slot(keys), 1)
                 parts.append(fingerprints(keys, text, j - i))
                 seen = True
             if parts:
@@ -202,7 +202,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     and component_id (the smallest id that links reach, its own included).  Links are pairs (a, b) of classes
     whose sets are at least ``threshold`` similar; within what links already connect, not all pairs are listed.
     """
-    runtime.ship(__name__, textcore.__name__, runtime.__name__)
+    runtime.prepare(docs, __name__, textcore.__name__, runtime.__name__)
     spark, threshold = docs.sparkSession, Fraction(threshold).limit_denominator(10_000)
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LEAST)).alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")).withColumn("_th", F.xxhash64("_text"))
     found = runtime.settle(rows.select("_id", "_th", "_text").mapInArrow(survey(n), A_SCHEMA))

@@ -217,7 +217,7 @@ FOLDED = _re2_class()
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and ``spans``: array of (kind, start, end, base)."""
-    runtime.ship(__name__)
+    runtime.prepare(docs, __name__)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(find_spans, f"_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,base:boolean>>").withColumnRenamed("_id", id_col)
@@ -248,7 +248,7 @@ def mask_batches(batches, at: int):
 
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the spans of its texts masked."""
-    runtime.ship(__name__)
+    runtime.prepare(docs, __name__)
     at = docs.columns.index(text_col)
     return docs.mapInArrow(lambda batches: mask_batches(batches, at), docs.schema)
 

@@ -174,7 +174,7 @@ def score_texts(texts: list[str], model: Model) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train_on: Column | None = None, max_rows: int = 4000, seed: int = 5) -> Model:
     """Fit on at most ``max_rows`` rows of ``labels`` (those with the smallest id hashes where ``train_on`` holds)."""
-    runtime.ship(__name__, textcore.__name__)
+    runtime.prepare(docs, __name__, textcore.__name__)
     known = labels.where(train_on) if train_on is not None else labels
     known = known.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("_label")).dropna().where("_label IN (0, 1)")
     known = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(max_rows)
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_at: float | None = None) -> DataFrame:
     """``docs`` with the column ``score``; with ``keep_at``, only the rows that reach it and without the column."""
-    runtime.ship(__name__, textcore.__name__)
+    runtime.prepare(docs, __name__, textcore.__name__)
     at = docs.columns.index(text_col)
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     own = [c for c in docs.columns if c != "score"]

@@ -101,7 +101,7 @@ def count_batches(batches):
 
 def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and the counts of each text."""
-    runtime.ship(__name__, textcore.__name__)
+    runtime.prepare(docs, __name__, textcore.__name__)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(count_batches, f"_id {kind}, " + ", ".join(f"{c} bigint" for c in COUNTS)).withColumnRenamed("_id", id_col)

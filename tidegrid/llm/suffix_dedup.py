@@ -30,7 +30,7 @@ GRAM = 50
 HOT = 20_000
 #: Up to so many rows, lists of contexts or ranges are broadcast; beyond, texts are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 POSITION = np.uint64((1 << 21) - 1)
 LEAST = -(1 << 63)
 
@@ -279,7 +279,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The id, n_bytes, n_removed, n_spans and ``kept`` (the bytes that are left) of each document."""
     if keep not in ("first", "none") or length <= GRAM:
         raise ValueError(f"keep is 'first' or 'none', and length more than {GRAM}")
-    runtime.ship(__name__, textcore.__name__)
+    runtime.prepare(docs, __name__, textcore.__name__)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LEAST)).alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text")).withColumn("_th", F.xxhash64("_text")).select("_id", "_th", "_text")
     ranges = runtime.settle(repeated_ranges(rows, length, keep, hot).groupBy("_id", "_th").agg(F.collect_set(F.struct("start", "many")).alias("ranges")))

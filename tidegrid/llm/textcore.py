@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes of text that are handled at once; a longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
