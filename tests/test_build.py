@@ -14,12 +14,14 @@ POSITIONS = {"WR": "skill", "TE": "strong", "OT|G|C": "line"}
 
 
 @pytest.fixture(scope="module")
-def built(spark):
+def built(spark, tmp_path_factory):
     """Runs of three classes, with a duplicate, an off-group run and a bad one, through the whole plan."""
-    raw, panel, frames, lanes = [], [], [], []
+    raw, panel, frames, lanes = [], [], [], tmp_path_factory.mktemp("stages")
+    # Each stage's table is written and read again: plans stay short, and nothing is computed twice.
+    keep = lambda name, df: tables.cached(spark, f"{lanes}/{name}.parquet", lambda: df)
     number = 0
     for v, (pos, cls) in enumerate(POSITIONS.items()):
-        for bib in range(1, 5):
+        for bib in range(2, 5):
             for attempt in (0, 1):
                 speed = 10.5 - v + 0.1 * bib + 0.02 * attempt
                 rid = f"v{v}_{number:03d}"
@@ -41,18 +43,19 @@ def built(spark):
     runs_raw = spark.createDataFrame(raw, "run_id string, video_id string, group string, positions string, slot int, t_origin double, clip_ss double, clip_frames int, k0 double, final_time double, split10 double, clock_resid_p95 double, n_clock int, bib int, bib_agree double")
     runs = build.registry(runs_raw, videos, spark.createDataFrame(panel, "run_id string, panel_pos string"))
     f = spark.createDataFrame(frames, "run_id string, frame int, s double, ankle_l double, ankle_r double, trunk_angle double, hip_height_ratio double, on_lane boolean")
+    runs = keep("registry", runs)
     f = f.join(runs.select("run_id", "k0"), "run_id")
-    per_frame = build.kinematics(f)
-    per_frame = build.strides(per_frame)
+    per_frame = keep("kinematics", build.kinematics(f))
+    per_frame = keep("strides", build.strides(per_frame))
     per_frame = per_frame.select("*", *(F.lit(5.0).alias(c) for c in build.NAMES if c not in per_frame.columns))
-    per_frame = build.finish_channels(per_frame).cache()
+    per_frame = keep("frames", build.finish_channels(per_frame))
     flat = F.array(*(F.lit(float(1 + i % 7)) for i in range(32)))
     hist = F.array(*(F.lit(1 / 144) for _ in range(144)))
     seen = per_frame.select("run_id", "frame", "x_yd", "on_lane", flat.alias("logo"), hist.alias("hist"), flat.alias("logo_ref"))
     support = runs.select("run_id", F.lit(6).alias("start_support"))
     lines = runs.select("run_id", F.explode(F.array(*(F.lit(5.0 * k + 0.1) for k in range(1, 8)))).alias("yd"))
-    quality = build.metrics(seen, runs, support, lines).withColumn("turf_min", F.lit(0.5)).withColumn("turf_median", F.lit(0.5)).cache()
-    done = build.with_split(build.identify(runs, videos, quality)).cache()
+    quality = keep("quality", build.metrics(seen, runs, support, lines).withColumn("turf_min", F.lit(0.5)).withColumn("turf_median", F.lit(0.5)))
+    done = keep("done", build.with_split(build.identify(runs, videos, quality)))
     yield runs, per_frame, quality, done, lanes
 
 
@@ -61,7 +64,7 @@ def test_kinematics_follow_the_motion(built):
     rows = frames.where("run_id = 'v0_000' AND x_yd IS NOT NULL AND v_yds IS NOT NULL").collect()
     t = np.array([r.t_clock for r in rows])
     inside = (t > 0.3) & (t < 4.0)
-    speed = 10.6
+    speed = 10.7
     want = speed * (1 - np.exp(-t / sprint.TAU))
     assert np.abs(np.array([r.x_yd for r in rows]) - sprint.motion(t, speed))[inside].max() < 0.05
     assert np.abs(np.array([r.v_yds for r in rows]) - want)[inside].mean() < 0.15
@@ -70,18 +73,19 @@ def test_kinematics_follow_the_motion(built):
 def test_quality_metrics(built):
     _, _, quality, _, _ = built
     rows = quality.collect()
-    assert all(abs(r.x_at_zero + 1) < 0.2 and abs(r.x_at_stop - 39.6) < 0.2 for r in rows)
+    assert len(rows) == 19
+    assert max(abs(r.x_at_zero + 1) for r in rows) < 0.2 and max(abs(r.x_at_stop - 39.6) for r in rows if r.run_id != 'v1_900') < 0.2
     assert all(r.yardline_resid == pytest.approx(0.1) and r.max_cut == pytest.approx(0, abs=1e-6) and r.panel_min_corr == pytest.approx(1) for r in rows)
-    assert all(r.track_frac > 0.9 and r.max_step_yd < 0.8 for r in rows)
+    assert min(r.track_frac for r in rows) > 0.9 and max(r.max_step_yd for r in rows) < 0.8
 
 
 def test_identity(built):
     _, _, _, done, _ = built
     rows = {r.run_id: r for r in done.collect()}
-    assert rows["v0_007"].status == "excluded" and rows["v0_007"].qc_reason == "panel position QB" and rows["v0_007"].attempt is None
+    assert rows["v0_005"].status == "excluded" and rows["v0_005"].qc_reason == "panel position QB" and rows["v0_005"].attempt is None
     assert rows["v1_900"].status == "excluded" or rows["v1_900"].status == "duplicate"
     assert rows["v0_001"].status == "rejected" and rows["v0_001"].qc_reason == "clock_resid_p95=0.5" and rows["v0_001"].attempt == 2
-    assert rows["v0_000"].status == "ok" and rows["v0_000"].cls == "SKILL" and rows["v2_016"].position == "OL"
+    assert rows["v0_000"].status == "ok" and rows["v0_000"].cls == "SKILL" and rows["v2_012"].position == "OL"
     sides = {}
     for r in rows.values():
         if r.split:
@@ -89,17 +93,18 @@ def test_identity(built):
     assert sides and all(len(s) == 1 for s in sides.values()) and rows["v0_001"].split == rows["v0_000"].split
 
 
-def test_grids_and_publishing(built):
-    runs, frames, _, done, _ = built
+def test_grids_and_publishing(spark, built):
+    runs, frames, _, done, folder = built
+    keep = lambda name, df: tables.cached(spark, f"{folder}/{name}.parquet", lambda: df)
     good = done.where("status = 'ok'").select("run_id", "k0", "final_time", "clip_frames")
-    by_time = build.series_by_time(frames.join(good.select("run_id"), "run_id", "left_semi"), good).cache()
+    by_time = keep("by_time", build.series_by_time(frames.join(good.select("run_id"), "run_id", "left_semi"), good))
     n = good.count()
     assert by_time.count() == 101 * n and by_time.columns == [f.name for f in schemas.SCHEMAS["series_by_time"].fields]
     window = frames.join(good.select("run_id", "final_time", "clip_frames"), "run_id").where(build.in_window(F.col("frame"), F.col("k0"), F.col("final_time"), F.col("clip_frames")))
-    by_distance = build.series_by_distance(window).cache()
+    by_distance = keep("by_distance", build.series_by_distance(window))
     assert 150 * n <= by_distance.count() <= 157 * n
     one = by_distance.where("run_id = 'v0_000'").orderBy("x_yd").collect()
-    want = [sprint.motion(np.array([r.t_clock]), 10.6)[0] for r in one]
+    want = [sprint.motion(np.array([r.t_clock]), 10.7)[0] for r in one]
     assert max(abs(r.x_yd - w) for r, w in zip(one, want, strict=True) if r.x_yd > 1) < 0.1
     assert {r.foot_contact for r in one} <= {0.0, 1.0, None}
     out = build.publish_runs(done, by_distance)
