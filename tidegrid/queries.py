@@ -276,13 +276,13 @@ def win8_win9_resample_by_distance(spark, sf):
     return resample.time_at_distance(e, KEY, "t", "x", 25.0, 1000.0).select("user_id", "distance", r("t_at", 3).alias("t_at"))
 
 
-@query(f"""WITH {EVENTS}, a AS (SELECT o_orderkey AS q, o_custkey % 150 AS user_id, (o_orderkey % 2500) * 1000.0::DOUBLE + 500 AS x FROM orders WHERE o_orderkey < 3000),
+@query(f"""WITH {EVENTS}, a AS (SELECT o_orderkey AS q, o_custkey % 150 AS user_id, (o_orderkey % 2500) * 1000.0::DOUBLE + 500 AS x FROM orders),
 s AS (SELECT user_id, t AS t0, value AS v0, lead(t) OVER w AS t1, lead(value) OVER w AS v1 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t))
 SELECT a.user_id, a.x, round(CASE WHEN x = t0 THEN v0 ELSE v0 + (v1 - v0) / (t1 - t0) * (x - t0) END, 4) AS value
 FROM a LEFT JOIN s ON a.user_id = s.user_id AND x >= t0 AND x < t1 WHERE a.user_id IN (SELECT user_id FROM e)""")
 def jon8_interpolate_at(spark, sf):
     e = events(spark, sf)
-    a = table(spark, sf, "orders").where("o_orderkey < 3000").select((F.col("o_custkey") % 150).alias("user_id"), ((F.col("o_orderkey") % 2500) * 1000.0 + 500).alias("x")).join(e.select("user_id").distinct(), "user_id", "left_semi")
+    a = table(spark, sf, "orders").select((F.col("o_custkey") % 150).alias("user_id"), ((F.col("o_orderkey") % 2500) * 1000.0 + 500).alias("x")).join(e.select("user_id").distinct(), "user_id", "left_semi")
     return resample.at_times(e, KEY, "t", "value", a, "x").select("user_id", "x", r("value", 4).alias("value"))
 
 
@@ -433,10 +433,10 @@ def agg16_correlation(spark, sf):
     return e.crossJoin(F.broadcast(one)).select("vec_id", r(vectors.correlation(F.col("embedding"), F.col("ref"))).alias("corr"))
 
 
-@query("""WITH h AS (SELECT vec_id, list_transform(embedding, lambda v: abs(v)::DOUBLE) AS a FROM embeddings), p AS (SELECT vec_id, a, lag(a) OVER (ORDER BY vec_id) AS b FROM h WHERE vec_id < 200)
+@query("""WITH h AS (SELECT vec_id, list_transform(embedding, lambda v: abs(v)::DOUBLE) AS a FROM embeddings), p AS (SELECT vec_id, a, lag(a) OVER (ORDER BY vec_id) AS b FROM h)
 SELECT vec_id, round(sqrt(greatest(0, 1 - list_sum(list_transform(list_zip(a, b), lambda z: sqrt(z[1] * z[2]))) / sqrt(list_sum(a) * list_sum(b)))), 5) AS d FROM p WHERE b IS NOT NULL""")
 def agg17_histogram_distance(spark, sf):
-    h = table(spark, sf, "embeddings").where("vec_id < 200").select("vec_id", F.transform("embedding", lambda v: F.abs(v).cast("double")).alias("a"))
+    h = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: F.abs(v).cast("double")).alias("a"))
     before = h.select((F.col("vec_id") + 1).alias("vec_id"), F.col("a").alias("b"))
     return h.join(before, "vec_id").select("vec_id", r(vectors.histogram_distance(F.col("a"), F.col("b")), 5).alias("d"))
 
@@ -453,12 +453,12 @@ def agg19_agg20_least_squares(spark, sf):
 
 
 @query(f"""WITH {EVENTS}, g AS (SELECT i AS g, 1.9 + i * 0.0005::DOUBLE AS p FROM range(401) r(i)),
-h AS (SELECT user_id, g, p, avg(CAST(abs(value * p - 5 * round_even(value * p / 5, 0)) < 0.25 AS DOUBLE)) AS share FROM e, g WHERE user_id < 60 GROUP BY 1, 2, 3),
+h AS (SELECT user_id, g, p, avg(CAST(abs(value * p - 5 * round_even(value * p / 5, 0)) < 0.25 AS DOUBLE)) AS share FROM e, g GROUP BY 1, 2, 3),
 b AS (SELECT user_id, arg_max(p, (share, -g)) AS coarse, max(share) AS share FROM h GROUP BY 1),
 f AS (SELECT e.user_id, value AS s, 5 * round_even(value * coarse / 5, 0) AS target, coarse FROM e JOIN b ON e.user_id = b.user_id)
 SELECT b.user_id, round(b.share, 6) AS share, round(s, 6) AS scale FROM b LEFT JOIN (SELECT user_id, sum(s * target) / sum(s * s) AS s FROM f WHERE abs(s * coarse - target) < 0.3 GROUP BY 1) z ON b.user_id = z.user_id""")
 def agg21_grid_fit(spark, sf):
-    e = events(spark, sf).where("user_id < 60").select("user_id", "value")
+    e = events(spark, sf).select("user_id", "value")
     return fits.grid_fit(e, KEY, "value").select("user_id", r("share").alias("share"), r("scale").alias("scale"))
 
 
@@ -685,9 +685,8 @@ def rsh1_pivot(spark, sf):
 {FILL.replace("FROM e)", "FROM x)")} SELECT user_id, CAST(i - 1 AS INTEGER) AS p, round(CASE WHEN count(gappy) OVER (PARTITION BY user_id) <= 1 THEN 0.0 WHEN i0 IS NULL THEN v1 WHEN i1 IS NULL THEN v0 WHEN i0 = i1 THEN v0 ELSE v0 + (v1 - v0) / (i1 - i0) * (i - i0) END, 6) AS v FROM b""")
 def rsh3_tensor(spark, sf):
     e = numbered(spark, sf).withColumn("g", F.col("i").cast("double"))
-    keep = e.where("i <= 10")
     every = e.select("user_id").distinct()
-    out = learn.tensor(keep.select("user_id", "g", "gappy").unionByName(every.select("user_id", F.lit(None).cast("double").alias("g"), F.lit(None).cast("double").alias("gappy"))), "user_id", "g", ["gappy"], [float(x) for x in range(1, 11)])
+    out = learn.tensor(e.select("user_id", "g", "gappy").unionByName(every.select("user_id", F.lit(None).cast("double").alias("g"), F.lit(None).cast("double").alias("gappy"))), "user_id", "g", ["gappy"], [float(x) for x in range(1, 11)])
     return out.select("user_id", F.posexplode("gappy").alias("p", "v")).withColumn("v", r("v"))
 
 
@@ -802,12 +801,12 @@ def geo5_line_hits(spark, sf):
     return lanes.line_hits(lines, KEY, "far", ("x0", "y0", "x1", "y1"), apart=25.1).select("user_id", r("u", 4).alias("u"), r("angle", 4).alias("angle"))
 
 
-@query(f"""WITH {EVENTS}, h AS (SELECT user_id, value AS u, 80 + value / 7 + i / 9.0 AS angle FROM e WHERE event_type = 'click' AND i < 20), f AS (SELECT user_id, count(*) AS n, regr_slope(angle, u) AS s, regr_intercept(angle, u) AS c, min(u) AS lo, max(u) AS hi, avg(angle) AS one FROM h GROUP BY 1),
+@query(f"""WITH {EVENTS}, h AS (SELECT user_id, value AS u, 80 + value / 7 + i / 9.0 AS angle FROM e WHERE event_type = 'click'), f AS (SELECT user_id, count(*) AS n, regr_slope(angle, u) AS s, regr_intercept(angle, u) AS c, min(u) AS lo, max(u) AS hi, avg(angle) AS one FROM h GROUP BY 1),
 k AS (SELECT user_id, 1000.0::DOUBLE AS u FROM e GROUP BY 1)
 SELECT k.user_id, round(CASE WHEN n = 1 THEN one WHEN n > 1 THEN s * greatest(lo - 300, least(hi + 300, k.u)) + c END, 4) AS theta FROM k LEFT JOIN f ON k.user_id = f.user_id""")
 def geo6_angle_at(spark, sf):
     e = numbered(spark, sf)
-    h = e.where("event_type = 'click' AND i < 20").select("user_id", F.col("value").alias("u"), (80 + F.col("value") / 7 + F.col("i") / 9.0).alias("angle"))
+    h = e.where("event_type = 'click'").select("user_id", F.col("value").alias("u"), (80 + F.col("value") / 7 + F.col("i") / 9.0).alias("angle"))
     return lanes.angle_at(h, KEY, e.select("user_id").distinct().withColumn("at", F.lit(1000.0)), "at").select("user_id", r("theta", 4).alias("theta"))
 
 
@@ -846,7 +845,7 @@ def geo14_smooth_angles(spark, sf):
 
 @query()
 def geo15_win28_ml4_index_rows(spark, sf):
-    e = numbered(spark, sf).where("i <= 12")
+    e = numbered(spark, sf)
     place = lambda u, y: (F.col("i") * 40.0 / (1 + 0.002 * F.col("i")) + u, F.lit(y) + F.col("i") * 0.5)
     rows = [e.select("user_id", place(u, y)[0].alias("x"), place(u, y)[1].alias("y"), F.lit(1.0).alias("theta"), F.lit(12.0).alias("length")) for u, y in ((0.0, 400.0), (15.0, 520.0))]
     return kernels.index_rows(rows[0].unionByName(rows[1]), KEY).select("user_id", "place", "marks", r("dx", 4).alias("dx"), r("resid", 3).alias("resid"))
@@ -859,6 +858,101 @@ def win21_track(spark, sf):
     return kernels.track_bodies(one(0, F.lit(500.0), 0).unionByName(one(1, F.lit(100.0), 4)), KEY).select("user_id", "frame", "number")
 
 
+# ---- readings of a display, registries and windows that the queries above leave out
+
+GLYPHS = """g AS (SELECT user_id AS f, CAST(i * 20 + (i // 3) * 100 AS INTEGER) AS x, 12 AS w, CASE WHEN event_type = 'error' THEN 'x' ELSE CAST(CAST(floor(value) AS BIGINT) % 10 AS VARCHAR) END AS label, CASE WHEN value > 2 THEN 0.9 ELSE 0.5 END AS score, (i // 3) AS n FROM e WHERE i >= 3)"""
+
+
+def glyphs(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("event_type") == "error", "x").otherwise((F.floor("value") % 10).cast("string"))
+    e = numbered(spark, sf).where("i >= 3")
+    return e.select(F.col("user_id").alias("f"), (F.col("i") * 20 + F.floor(F.col("i") / 3) * 100).cast("int").alias("x"), F.lit(12).alias("w"), label.alias("label"), F.when(F.col("value") > 2, 0.9).otherwise(0.5).alias("score"))
+
+
+@query(f"""WITH {EVENTS}, {GLYPHS} SELECT f, CAST((min(x) + max(x) + 12) // 2 AS INTEGER) AS x, CASE WHEN count(*) = 3 AND bool_and(label <> 'x' AND score >= 0.8) AND n <> 2 THEN CAST(string_agg(label, '' ORDER BY x) AS INTEGER) / 100.0::DOUBLE END AS value FROM g GROUP BY f, n""")
+def pnl2_read_times(spark, sf):
+    points = F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda n: F.when(n != 2, n * 3 * 20 + n * 100 + 14).otherwise(0).cast("int"))
+    return panel.read_times(glyphs(spark, sf).withColumn("p", points), ["f"], "p").select("f", "x", "value")
+
+
+@query(f"""WITH {EVENTS}, {GLYPHS} SELECT f, CASE WHEN bool_and(label <> 'x' AND score >= 0.8) THEN string_agg(label, '' ORDER BY x) END AS bib FROM g WHERE n > 1 GROUP BY f""")
+def pnl3_read_bib(spark, sf):
+    return panel.read_bib(glyphs(spark, sf), ["f"])
+
+
+@query(f"""WITH {EVENTS} SELECT count(*) AS n FROM e WHERE user_id IN (SELECT user_id FROM e WHERE event_type = 'signup' AND value > 60)""")
+def pnl5_src11_semi_manifest(spark, sf):
+    e = events(spark, sf)
+    timed = panel.keep_timed_frames(e, e.where("event_type = 'signup' AND value > 60"), KEY)
+    return source.present(timed, e.where("event_type = 'signup' AND value > 60"), "user_id").agg(F.count("*").alias("n"))
+
+
+@query("""WITH p AS (SELECT vec_id AS number, label FROM embeddings), l AS (SELECT r_regionkey::BIGINT AS number, r_name FROM region) SELECT p.number, p.label, l.r_name FROM p JOIN l ON p.number = l.number""")
+def pnl6_jon14_label_prototypes(spark, sf):
+    p = table(spark, sf, "embeddings").select(F.col("vec_id").alias("number"), "label")
+    return panel.label_prototypes(p, table(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("number"), "r_name"))
+
+
+@query()
+def pnl5_largest_clusters(spark, sf):
+    e = table(spark, sf, "embeddings").withColumn("unit", vectors.unit(F.col("embedding"))).withColumn("all", F.lit(0))
+    found = kernels.leader_clusters(e, ["all"], "vec_id", "unit", 0.3)
+    return panel.largest_clusters(found, e, "vec_id", "unit", 96).select("number", "cluster", "n")
+
+
+@query("""SELECT n_name, sha256(n_name) AS found, CASE WHEN n_nationkey % 2 = 0 THEN sha256(n_name) ELSE 'none' END AS expected FROM nation WHERE n_nationkey % 2 = 1""")
+def agg27_checksum_mismatches(spark, sf):
+    n = table(spark, sf, "nation").select("n_name", "n_nationkey", F.sha2("n_name", 256).alias("sha256"))
+    registry = n.select("n_name", F.when(F.col("n_nationkey") % 2 == 0, F.col("sha256")).otherwise("none").alias("sha256"))
+    return source.mismatches(n.drop("n_nationkey"), registry, "n_name")
+
+
+@query("SELECT o_orderkey AS run_id, o_totalprice AS time_40yd, o_custkey AS athlete FROM orders ORDER BY run_id")
+def prj7_prj8_rename_select(spark, sf):
+    return table(spark, sf, "orders").withColumnsRenamed({"o_orderkey": "run_id", "o_totalprice": "time_40yd", "o_custkey": "athlete"}).select("run_id", "time_40yd", "athlete").orderBy("run_id")
+
+
+@query("SELECT o_orderkey, o_totalprice / 40000 AS final FROM orders WHERE o_totalprice / 40000 BETWEEN 3.9 AND 6.5")
+def flt11_plausible_range(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") / 40000).alias("final")).where(F.col("final").between(3.9, 6.5))
+
+
+@query("SELECT l_returnflag, channel, count(value) AS n, round(avg(value), 4) AS mean FROM (UNPIVOT (SELECT l_returnflag, l_quantity, l_discount, l_tax FROM lineitem) ON l_quantity, l_discount, l_tax INTO NAME channel VALUE value) GROUP BY 1, 2")
+def prj12_dynamic_channels(spark, sf):
+    li = table(spark, sf, "lineitem", "l_returnflag", "l_quantity", "l_discount", "l_tax")
+    channels = [c for c in li.columns if c != "l_returnflag"]
+    return li.unpivot("l_returnflag", channels, "channel", "value").groupBy("l_returnflag", "channel").agg(F.count("value").alias("n"), r(F.avg("value"), 4).alias("mean"))
+
+
+@query("SELECT user_id, event_id FROM events WHERE epoch_us(ts) / 1e6 BETWEEN epoch_us(TIMESTAMP '2024-01-05') / 1e6 - 1 / 29.97 - 1e-6 AND epoch_us(TIMESTAMP '2024-01-09') / 1e6 + 1 / 29.97 + 1e-6")
+def flt7_slack_window(spark, sf):
+    slack = 1 / 29.97 + 1e-6
+    return events(spark, sf).where(F.col("t").between(4 * 86400 - slack, 8 * 86400 + slack)).select("user_id", "event_id")
+
+
+@query(f"""WITH {EVENTS}, r AS (SELECT user_id, t, value, lag(t) OVER w AS b FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t)) SELECT user_id, count(*) AS n, round(max(t - b), 4) AS longest FROM r GROUP BY 1""")
+def win1_differences(spark, sf):
+    w = Window.partitionBy("user_id").orderBy("t")
+    return events(spark, sf).withColumn("d", F.col("t") - F.lag("t").over(w)).groupBy("user_id").agg(F.count("*").alias("n"), r(F.max("d"), 4).alias("longest"))
+
+
+@query(f"""WITH {EVENTS}, {SEGMENT_SQL.format(v="gappy")}, b AS (SELECT user_id, min(t) AS lo, max(t) AS hi FROM e GROUP BY 1),
+g AS (SELECT user_id, i, lo + (hi - lo) / 10 * i AS x FROM b, range(11) AS r(i)), p AS (SELECT g.user_id, i, CASE WHEN x = t0 THEN v0 WHEN t1 IS NOT NULL THEN v0 + (v1 - v0) / (t1 - t0) * (x - t0) END AS v FROM g LEFT JOIN s ON g.user_id = s.user_id AND x >= t0 AND (x < t1 OR t1 IS NULL))
+SELECT user_id, {", ".join(f'round(max(v) FILTER (WHERE i = {k}), 4) AS "p{k}"' for k in range(11))} FROM p GROUP BY 1""")
+def rsh1_pivot_phase(spark, sf):
+    e = events(spark, sf)
+    w = Window.partitionBy("user_id")
+    e = e.withColumn("lo", F.min("t").over(w)).withColumn("hi", F.max("t").over(w))
+    long = resample.by_phase(e, KEY, "t", "gappy", "lo", "hi", 11).select("user_id", F.concat(F.lit("p"), F.col("_i").cast("string")).alias("phase"), r("value", 4).alias("value"))
+    return learn.pivot_grid(long, "user_id", "phase", "value", [f"p{k}" for k in range(11)])
+
+
+@query(f"""WITH {EVENTS}, k AS (SELECT DISTINCT CAST(i % 5 AS BIGINT) AS cls, i FROM e) SELECT cls, count(*) AS runs FROM k GROUP BY cls""")
+def flt3_computed_set(spark, sf):
+    e = numbered(spark, sf).select((F.col("i") % 5).alias("cls"), "i").distinct()
+    return e.join(e.select("i").distinct(), "i", "left_semi").groupBy("cls").agg(F.count("*").alias("runs"))
+
+
 # ---- kernels, streaming
 
 
