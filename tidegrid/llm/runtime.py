@@ -35,7 +35,8 @@ def _checkpoints(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint"))
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
