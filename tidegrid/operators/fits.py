@@ -38,16 +38,28 @@ def slope_through_zero(x: Column, y: Column) -> Column:
 def grid_fit(df: DataFrame, key: list[str], s: str, spacing: float = 5.0, low: float = 1.9, step: float = 0.0005, count: int = 401, near: float = 0.25, inside: float = 0.3) -> DataFrame:
     """The scale that puts most places near a multiple of ``spacing`` (the first of equals), then least squares over those inside.
 
-    Candidates are exploded per row and counted before the shuffle, which carries one row for each key and candidate."""
-    tried = df.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumn("_p", F.lit(low) + F.col("_g") * F.lit(step))
-    off = lambda p: F.abs(F.col(s) * p - spacing * F.bround(F.col(s) * p / spacing))
-    shares = tried.groupBy(*key, "_g", "_p").agg(F.avg((off(F.col("_p")) < near).cast("double")).alias("_share"))
-    best = shares.groupBy(*key).agg(F.max_by(F.col("_p"), F.struct(F.col("_share"), -F.col("_g"))).alias("coarse"), F.max("_share").alias("share"))
-    if key:
-        joined = df.join(best, key)
-    else:
-        joined = df.crossJoin(F.broadcast(best))  # one row
-    target = spacing * F.bround(F.col(s) * F.col("coarse") / spacing)
+    Only the candidates that a place supports are exploded (about a tenth of them), and counted before the shuffle."""
+    off = lambda p: F.abs(F.col(s) * p - spacing * F.rint(F.col(s) * p / spacing))
+    scale = lambda g: F.lit(low) + g * F.lit(step)
+    # Around each multiple in reach lies a range of candidates, a step wider here against rounding; the exact test follows.
+    size, last = F.abs(F.col(s)), count - 1
+    number = lambda p: (p / size - low) / step
+
+    def around(n: Column) -> Column:
+        a = F.greatest(F.lit(0), F.floor(number(spacing * n - near)).cast("int"))
+        b = F.least(F.lit(last), F.ceil(number(spacing * n + near)).cast("int"))
+        return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
+
+    multiples = F.sequence(F.floor(size * low / spacing), F.ceil(size * (low + last * step) / spacing))
+    tried = F.when(size < near / 10, F.sequence(F.lit(0), F.lit(last))).otherwise(F.array_distinct(F.flatten(F.transform(multiples, around))))
+    hits = F.filter(tried, lambda g: off(scale(g)) < near)
+    votes = df.where(F.col(s).isNotNull()).select(*key, F.explode(hits).alias("_g")).groupBy(*key, "_g").agg(F.count("*").alias("_n"))
+    top = votes.groupBy(*key).agg(F.max(F.struct(F.col("_n"), (-F.col("_g")).alias("_g"))).alias("_t"))
+    sizes = df.groupBy(*key).agg(F.count(s).alias("_size")).where("_size > 0")
+    best = sizes.join(top, key, "left") if key else sizes.crossJoin(F.broadcast(top))  # without a key, one row each
+    best = best.select(*key, scale(F.coalesce(-F.col("_t._g"), F.lit(0))).alias("coarse"), (F.coalesce("_t._n", F.lit(0)) / F.col("_size")).alias("share"))
+    joined = df.join(best, key) if key else df.crossJoin(F.broadcast(best))  # one row
+    target = spacing * F.rint(F.col(s) * F.col("coarse") / spacing)
     hit = joined.withColumn("_target", target).where(F.abs(F.col(s) * F.col("coarse") - F.col("_target")) < inside)
     fitted = hit.groupBy(*key).agg(slope_through_zero(F.col(s), F.col("_target")).alias("scale"))
     return best.join(fitted, key, "left") if key else best.crossJoin(F.broadcast(fitted))
@@ -83,7 +95,7 @@ def projective_fit(df: DataFrame, key: list[str], s: str, u: str) -> DataFrame:
 
 def multiple_residual(x: Column, spacing: float = 5.0) -> Column:
     """The median distance to the nearest multiple of ``spacing``."""
-    return F.median(F.abs(x - spacing * F.bround(x / spacing)))
+    return F.median(F.abs(x - spacing * F.rint(x / spacing)))
 
 
 def mode_of(df: DataFrame, key: list[str], value: str, least: int = 3) -> DataFrame:
