@@ -9,5 +9,5 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="scratch")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="scratch")
     return f"{shared}/{uuid.uuid4().hex}/{name}"
