@@ -56,3 +56,25 @@ def test_awkward_rows(spark):
     assert len(got) == len(rows()) and all((r.n_tokens == 0) == (r.mean_log_prob is None) for r in got)
     assert all(r.log_prob == 0 for r in got if r.n_tokens == 0) and all(r.log_prob < 0 for r in got if r.n_tokens)
     assert lm_score.lm_scores(frame(spark, [])).collect() == []
+
+
+def test_order_matters_on_the_defaults(spark):
+    docs = grammar(spark)
+    out = {r.doc_id: r.mean_log_prob for r in lm_score.score(docs, lm_score.fit(docs.where("doc_id < 1500"))).collect()}
+    assert np.mean([out[k] for k in range(50)]) > np.mean([out[1500 + k] for k in range(50)]) + 0.5
+
+
+def test_every_token_is_trained_on():
+    import pyarrow as pa
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    import inspect
+
+    stride = inspect.signature(lm_score.fit).parameters["stride"].default
+    start = lm_score.flatten(lm_score.initial(np.ones(lm_score.TOKENS), 1))
+    run = lm_score.train_partition(Sent(np.zeros(lm_score.BUCKETS, np.int16)), Sent(start), stride, 1.0)
+    out = list(run([pa.RecordBatch.from_arrays([pa.array(["a b c d e f g", "h i", None, "j"])], names=["_text"])]))
+    assert [b.column(0).to_pylist() for b in out] == [[10]]

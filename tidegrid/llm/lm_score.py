@@ -6,7 +6,7 @@ buckets of the word's hash: the most frequent buckets are tokens of their own, t
 network adds one vector for each place of the window, applies tanh, and predicts first the token's class (of 32) and then
 the token in its class (of 32), so that a prediction costs 64 outputs and not 1024.
 
-It is trained in numpy on every ``stride``-th token of every document, shifted from text to text: each partition trains from
+It is trained in numpy on every token of every document (a larger ``stride`` takes every ``stride``-th, shifted from text to text): each partition trains from
 the same start, and the parameters are averaged by the numbers of tokens.  What is gathered grows with the number of partitions; the
 count table and the averaged parameters have fixed sizes.
 
@@ -28,6 +28,7 @@ TOKENS = CLASSES * IN_CLASS
 REST = 256
 SIDE = 2
 DIM = 16
+REACH = 64
 #: The token beside a text's ends.
 EDGE = TOKENS
 SHAPES = {"table": (2 * SIDE, TOKENS + 1, DIM), "start": (DIM,), "to_class": (DIM, CLASSES), "class_bias": (CLASSES,), "to_token": (CLASSES, DIM, IN_CLASS), "token_bias": (CLASSES, IN_CLASS)}
@@ -135,35 +136,43 @@ def log_probabilities(net: dict[str, np.ndarray], tokens: np.ndarray, first: np.
     return out
 
 
-def learn(net: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, rate: float, batch: int = 128) -> None:
-    """One pass of gradient descent over the given targets and their neighbours, in place."""
-    group, inner = np.divmod(tokens.astype(np.int64), IN_CLASS)
+def learn(net: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, rate: float, batch: int = 2048) -> None:
+    """One pass of gradient descent over the given targets and their neighbours, in place.
+
+    What a batch says of a class's tokens or of a table's row comes from few of its targets: these steps are ``REACH`` times
+    the mean over the batch, but at most half the mean over the targets concerned.  The rest steps by the batch's mean."""
+    classes, _, in_class = net["to_token"].shape
+    places, width, dim = net["table"].shape
+    table = net["table"].reshape(-1, dim)
+    group, inner = np.divmod(tokens.astype(np.int64), in_class)
     for a in range(0, len(tokens), batch):
-        n, g, w = near[:, a : a + batch], group[a : a + batch], inner[a : a + batch]
+        order = np.argsort(group[a : a + batch], kind="stable")
+        n, g, w = near[:, a : a + batch][:, order], group[a : a + batch][order], inner[a : a + batch][order]
         row = np.arange(len(g))
+        step = rate / len(g)
         h = hidden(net, n)
         p = np.exp(log_softmax(h @ net["to_class"] + net["class_bias"]))
         p[row, g] -= 1
-        q = np.einsum("nd,ndk->nk", h, net["to_token"][g]) + net["token_bias"][g]
-        q = np.exp(log_softmax(q))
-        q[row, w] -= 1
-        back = p @ net["to_class"].T + np.einsum("nk,ndk->nd", q, net["to_token"][g])
-        step = rate / len(g)
+        back = p @ net["to_class"].T
+        edges = np.searchsorted(g, np.arange(classes + 1))
+        for c in np.flatnonzero(np.diff(edges)):
+            i, j = edges[c], edges[c + 1]
+            q = np.exp(log_softmax(h[i:j] @ net["to_token"][c] + net["token_bias"][c]))
+            q[row[: j - i], w[i:j]] -= 1
+            back[i:j] += q @ net["to_token"][c].T
+            own = min(step * REACH, rate / 2 / (j - i))
+            net["to_token"][c] -= own * (h[i:j].T @ q)
+            net["token_bias"][c] -= own * q.sum(0)
         net["to_class"] -= step * (h.T @ p)
         net["class_bias"] -= step * p.sum(0)
-        order = np.argsort(g, kind="stable")
-        edges = np.searchsorted(g[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(edges)):
-            some = order[edges[c] : edges[c + 1]]
-            net["to_token"][c] -= step * (h[some].T @ q[some])
-            net["token_bias"][c] -= step * q[some].sum(0)
         back *= 1 - h * h
         net["start"] -= step * back.sum(0)
-        for k in range(2 * SIDE):
-            # Sums by token: sorted, then added in runs, which is faster than adding at indices.
-            order = np.argsort(n[k], kind="stable")
-            seen, first = np.unique(n[k][order], return_index=True)
-            net["table"][k][seen] -= step * np.add.reduceat(back[order], first, axis=0)
+        # Sums by place and token: sorted, then added in runs, which is faster than adding at indices.
+        key = (n + (np.arange(places) * width)[:, None]).ravel()
+        order = np.argsort(key, kind="stable")
+        seen, first, many = np.unique(key[order], return_index=True, return_counts=True)
+        own = np.minimum(step * REACH, rate / 2 / many).astype(np.float32)
+        table[seen] -= own[:, None] * np.add.reduceat(back[order % len(g)], first, axis=0)
 
 
 def train_partition(token, start, stride: int, rate: float):
@@ -192,7 +201,7 @@ def train_partition(token, start, stride: int, rate: float):
     return run
 
 
-def fit(docs: DataFrame, text_col: str = "text", stride: int = 8, rate: float = 1.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, text_col: str = "text", stride: int = 1, rate: float = 1.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """The token of each bucket, and the parameters."""
     runtime.prepare(docs, __name__, textcore.__name__, runtime.__name__)
     context = docs.sparkSession.sparkContext
