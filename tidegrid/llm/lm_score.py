@@ -6,9 +6,11 @@ buckets of the word's hash: the most frequent buckets are tokens of their own, t
 network adds one vector for each place of the window, applies tanh, and predicts first the token's class (of 32) and then
 the token in its class (of 32), so that a prediction costs 64 outputs and not 1024.
 
-It is trained in numpy on every token of every document (a larger ``stride`` takes every ``stride``-th, shifted from text to text): each partition trains from
-the same start, and the parameters are averaged by the numbers of tokens.  What is gathered grows with the number of partitions; the
-count table and the averaged parameters have fixed sizes.
+It is trained in numpy on every token of every document (a larger ``stride`` takes every ``stride``-th, shifted from text to
+text).  Texts are dealt by a hash of id and text into parts of ``PART_TOKENS`` words or more on average, and parts into up to
+``ROUNDS`` rounds.  In a round each part trains one pass from the last average, in the order of the hash, and the parameters
+are averaged by the numbers of tokens.  So each text is learned from once, and the model doesn't depend on the input's
+partitions (scores only by float32's rounding, in the fourth decimal of the sum).  What is gathered grows with the number of parts.
 
 Defined results: null and empty texts and texts without words have no tokens and a score of 0; the mean is null then; rows are
 independent, repeated rows get equal scores; an empty table gives an empty result.  Other columns are ignored.
@@ -29,6 +31,12 @@ REST = 256
 SIDE = 2
 DIM = 16
 REACH = 64
+#: Words of a training part on average, at least; a corpus of fewer is one part.
+PART_TOKENS = 1 << 20
+#: Times that the parameters are averaged, if there are as many parts.
+ROUNDS = 4
+#: Parameters are added as whole numbers of 1 / SCALE.
+SCALE = 1 << 24
 #: The token beside a text's ends.
 EDGE = TOKENS
 SHAPES = {"table": (2 * SIDE, TOKENS + 1, DIM), "start": (DIM,), "to_class": (DIM, CLASSES), "class_bias": (CLASSES,), "to_token": (CLASSES, DIM, IN_CLASS), "token_bias": (CLASSES, IN_CLASS)}
@@ -175,46 +183,89 @@ def learn(net: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, rate
         table[seen] -= own[:, None] * np.add.reduceat(back[order % len(g)], first, axis=0)
 
 
-def train_partition(token, start, stride: int, rate: float):
+def tokenise(token, stride: int):
+    """Of each text that has some: its tokens, and the first place that is trained on."""
+
     def run(batches):
         import pyarrow as pa
 
-        of, net, trained = token.value, unflatten(start.value), 0
-        net = {k: v.copy() for k, v in net.items()}
+        of = token.value
         for batch in batches:
-            data, offsets = textcore.column_bytes(batch.column(0))
+            data, offsets = textcore.column_bytes(batch.column(2))
+            part, key = batch.column(0), batch.column(1)
             for i, j in textcore.chunks(offsets):
                 hashes, first = words_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                tokens = of[slot(hashes)]
-                # Every stride-th token, from a place that the text's first word decides.
-                text = np.repeat(np.arange(j - i), np.diff(first))
-                shift = np.zeros(j - i, np.int64)
-                some = np.diff(first) > 0
-                shift[some] = (hashes[first[:-1][some]] % np.uint64(stride)).astype(np.int64)
-                at = np.flatnonzero((np.arange(len(tokens)) - first[text] + shift[text]) % stride == 0)
-                if len(at):
-                    learn(net, tokens[at], beside(tokens, first, at), rate)
-                    trained += len(at)
-        if trained:
-            yield pa.RecordBatch.from_arrays([pa.array([trained], pa.int64()), pa.array([flatten(net)], pa.list_(pa.float32()))], names=["trained", "net"])
+                tokens = of[slot(hashes)].astype(np.int32)
+                some = np.flatnonzero(np.diff(first))
+                shift = (hashes[first[:-1][some]] % np.uint64(stride)).astype(np.int32)
+                own = [tokens[first[k] : first[k + 1]].tobytes() for k in some]
+                yield pa.RecordBatch.from_arrays([part.take(pa.array(i + some)), key.take(pa.array(i + some)), pa.array(shift), pa.array(own, pa.binary())], names=["part", "key", "shift", "tokens"])
+
+    return run
+
+
+def train_parts(now, stride: int, rate: float):
+    """Trains one network for each part: ``now`` is where all start.  A part's rows come one after another."""
+
+    def trained(part: int, texts: list):
+        import pyarrow as pa
+
+        net = {k: v.copy() for k, v in unflatten(now.value).items()}
+        tokens = np.concatenate([x for x, _ in texts])
+        first = np.concatenate(([0], np.cumsum([len(x) for x, _ in texts])))
+        shift = np.array([k for _, k in texts])
+        text = np.repeat(np.arange(len(texts)), np.diff(first))
+        every = np.flatnonzero((np.arange(len(tokens)) - first[text] + shift[text]) % stride == 0)
+        for a in range(0, len(every), 1 << 16):
+            at = every[a : a + (1 << 16)]
+            learn(net, tokens[at], beside(tokens, first, at), rate)
+        # Whole numbers, so that the order of adding doesn't matter; the weight counts as one more parameter.
+        weight = (len(every) + 1023) // 1024
+        sums = np.append(np.rint(flatten(net).astype(np.float64) * SCALE).astype(np.int64), 1) * weight
+        blocks = runtime.pack(sums)
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([part % 64] * len(blocks), pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["block", "salt", "payload"])
+
+    def run(batches):
+        now_part, texts = None, []
+        for batch in batches:
+            parts, shifts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            for part, shift, own in zip(parts.tolist(), shifts.tolist(), batch.column(2), strict=True):
+                if part != now_part and texts:
+                    yield trained(now_part, texts)
+                    texts = []
+                now_part = part
+                texts.append((np.frombuffer(own.as_buffer(), np.int32).copy(), shift))
+        if texts:
+            yield trained(now_part, texts)
 
     return run
 
 
-def fit(docs: DataFrame, text_col: str = "text", stride: int = 1, rate: float = 1.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, text_col: str = "text", stride: int = 1, rate: float = 1.0, seed: int = 11, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
     """The token of each bucket, and the parameters."""
     runtime.prepare(docs, __name__, textcore.__name__, runtime.__name__)
     context = docs.sparkSession.sparkContext
-    texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"))
+    text = F.col(f"`{text_col}`").cast("string")
+    texts = docs.select(text.alias("_text"))
     counts = runtime.add_arrays(texts.mapInArrow(count_words, "block int, salt int, payload binary"), BUCKETS, "int64")
     token, frequency = vocabulary(counts)
-    start = flatten(initial(frequency, seed))
-    nets = texts.mapInArrow(train_partition(context.broadcast(token), context.broadcast(start), stride, rate), "trained bigint, net array<float>")
-    parts = nets.select("trained", F.posexplode("net").alias("at", "value"))
-    mean = parts.groupBy("at").agg((F.sum(F.col("value").cast("double") * F.col("trained")) / F.sum("trained")).alias("value")).collect()
-    fitted = start.copy()
-    for row in mean:
-        fitted[row["at"]] = row["value"]
+    fitted = flatten(initial(frequency, seed))
+    total = int(counts.sum())
+    if not total:
+        return token, fitted
+    parts = max(1, total // PART_TOKENS)
+    rounds = min(ROUNDS, parts)
+    # By id and text, so that exact copies are dealt apart.
+    key = F.xxhash64(*([F.col(f"`{id_col}`").cast("string")] if id_col in docs.columns else []), text)
+    keyed = docs.select(F.pmod(key, F.lit(parts)).cast("int").alias("part"), key.alias("key"), text.alias("_text"))
+    dealt = keyed.mapInArrow(tokenise(context.broadcast(token), stride), "part int, key bigint, shift int, tokens binary")
+    dealt = runtime.settle(dealt.repartition(2 * parts, "part").sortWithinPartitions("part", "key", "tokens"))
+    for k in range(rounds):
+        some = dealt.where(F.col("part") % rounds == k).select("part", "shift", "tokens")
+        nets = some.mapInArrow(train_parts(context.broadcast(fitted), stride, rate), "block int, salt int, payload binary")
+        sums = runtime.add_arrays(nets, len(fitted) + 1, "int64")
+        if sums[-1]:
+            fitted = (sums[:-1] / (sums[-1] * SCALE)).astype(np.float32)
     return token, fitted
 
 
@@ -245,4 +296,4 @@ def score(docs: DataFrame, fitted: tuple[np.ndarray, np.ndarray], id_col: str =
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return score(docs, fit(docs, text_col), id_col, text_col)
+    return score(docs, fit(docs, text_col, id_col=id_col), id_col, text_col)
