@@ -79,3 +79,23 @@ def test_partitions_do_not_matter(spark, monkeypatch):
     # Scoring's matrices differ in shape with the partitions, so that float32 rounds differently in the last place.
     a, b = (values(lm_score.score(docs.repartition(n), few), "doc_id", "log_prob") for n in (4, 200))
     assert [x for x, _ in a] == [x for x, _ in b] and np.allclose([y for _, y in a], [y for _, y in b], rtol=0, atol=1e-3)
+
+
+def test_shared_tokens_are_split_and_the_vocabulary_grows():
+    counts = np.random.default_rng(0).zipf(1.3, lm_score.BUCKETS).clip(max=10**6)
+    token, frequency, share = lm_score.vocabulary(counts)
+    large = lm_score.vocabulary(counts * 100)[1]
+    assert len(large) > len(frequency) > lm_score.TOKENS and frequency.sum() == counts.sum()
+    sums = np.bincount(token, weights=np.exp(share.astype(float)), minlength=len(frequency))
+    assert np.allclose(sums, 1, atol=1e-3)
+    assert lm_score.unflatten(lm_score.flatten(lm_score.initial(large, 1)))["token_bias"].size == len(large)
+
+
+def test_rare_words_score_below_frequent_ones(spark):
+    rng = random.Random(1)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7))}" if rng.random() < 0.9 else f"x{rng.random()}" for _ in range(100)) for _ in range(300)]
+    known = " ".join(f"w{k}" for k in range(100, 140))
+    odd = " ".join(f"never{k}" for k in range(40))
+    docs = frame(spark, [(k, t, None, None, None) for k, t in enumerate([*texts, known, odd])])
+    out = {r.doc_id: r.mean_log_prob for r in lm_score.score(docs, lm_score.fit(docs.where("doc_id < 300"))).collect()}
+    assert out[300] > out[301] + 1

@@ -2,9 +2,11 @@
 
 Every token is predicted from the ``SIDE`` tokens on either side of it; a document's score is the sum of the
 log-probabilities of its tokens.  Tokens are lower-cased words.  The vocabulary comes from counts over all documents in 2**20
-buckets of the word's hash: the most frequent buckets are tokens of their own, the rest share ``REST`` tokens.  The
-network adds one vector for each place of the window, applies tanh, and predicts first the token's class (of 32) and then
-the token in its class (of 32), so that a prediction costs 64 outputs and not 1024.
+buckets of the word's hash: the most frequent buckets are tokens of their own, half the square root of the corpus's words of
+them, and the rest share ``REST`` tokens.  A word of a shared token has the token's probability times its bucket's share of the token's
+words, by the counts plus one.  The network adds one vector for each place of the window, applies tanh, and predicts first
+the token's class and then the token in its class; there are as many classes as tokens in a class, so that a prediction of
+one of 1024 tokens costs 64 outputs.
 
 It is trained in numpy on every token of every document (a larger ``stride`` takes every ``stride``-th, shifted from text to
 text).  Texts are dealt by a hash of id and text into parts of ``PART_TOKENS`` words or more on average, and parts into up to
@@ -18,6 +20,8 @@ independent, repeated rows get equal scores; an empty table gives an empty resul
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from tidegrid.llm import runtime, textcore
 
 BUCKETS = 1 << 20
+#: Of a small corpus.
 CLASSES, IN_CLASS = 32, 32
 TOKENS = CLASSES * IN_CLASS
 REST = 256
@@ -37,9 +42,20 @@ PART_TOKENS = 1 << 20
 ROUNDS = 4
 #: Parameters are added as whole numbers of 1 / SCALE.
 SCALE = 1 << 24
-#: The token beside a text's ends.
-EDGE = TOKENS
-SHAPES = {"table": (2 * SIDE, TOKENS + 1, DIM), "start": (DIM,), "to_class": (DIM, CLASSES), "class_bias": (CLASSES,), "to_token": (CLASSES, DIM, IN_CLASS), "token_bias": (CLASSES, IN_CLASS)}
+
+
+def shapes(tokens: int) -> dict[str, tuple[int, ...]]:
+    """Of the parameters, for a square number of tokens.  The token after the last is the one beside a text's ends."""
+    side = math.isqrt(tokens)
+    return {"table": (2 * SIDE, tokens + 1, DIM), "start": (DIM,), "to_class": (DIM, side), "class_bias": (side,), "to_token": (side, DIM, side), "token_bias": (side, side)}
+
+
+def tokens_of(size: int) -> int:
+    """The number of tokens of ``size`` parameters."""
+    side = CLASSES
+    while sum(int(np.prod(x)) for x in shapes(side * side).values()) < size:
+        side += 1
+    return side * side
 
 
 def slot(hashes: np.ndarray) -> np.ndarray:
@@ -67,20 +83,27 @@ def count_words(batches):
         yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([salt] * len(blocks), pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["block", "salt", "payload"])
 
 
-def vocabulary(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token of each bucket, and how often each token occurs.  Tokens are dealt to classes in the order of their frequency."""
-    own = TOKENS - REST
+def vocabulary(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token of each bucket, how often each token occurs, and the logarithm of each bucket's share of its token.
+
+    Tokens are dealt to classes in the order of their frequency."""
+    side = max(CLASSES, math.isqrt(math.isqrt(int(counts.sum())) // 2 + REST - 1) + 1)
+    own = side * side - REST
     order = np.lexsort((np.arange(BUCKETS), -counts))[:own]
     order = order[counts[order] > 0]
     token = own + (np.arange(BUCKETS) * 2654435761 >> 7) % REST
+    shared = np.bincount(token, weights=counts + 1)
+    shared -= np.bincount(token[order], weights=counts[order] + 1, minlength=len(shared))
+    share = np.log((counts + 1) / shared[token])
+    share[order] = 0
     token[order] = np.arange(len(order))
-    return token.astype(np.int16), np.bincount(token, weights=counts, minlength=TOKENS)
+    return token.astype(np.int32), np.bincount(token, weights=counts, minlength=side * side), share.astype(np.float32)
 
 
 def initial(frequency: np.ndarray, seed: int) -> dict[str, np.ndarray]:
     random = np.random.default_rng(seed)
-    net = {k: (random.standard_normal(shape) * 0.1).astype(np.float32) for k, shape in SHAPES.items()}
-    share = ((frequency + 1) / (frequency + 1).sum()).reshape(CLASSES, IN_CLASS)
+    net = {k: (random.standard_normal(shape) * 0.1).astype(np.float32) for k, shape in shapes(len(frequency)).items()}
+    share = ((frequency + 1) / (frequency + 1).sum()).reshape(net["token_bias"].shape)
     net["start"][:] = 0
     net["class_bias"] = np.log(share.sum(1)).astype(np.float32)
     net["token_bias"] = np.log(share / share.sum(1, keepdims=True)).astype(np.float32)
@@ -88,20 +111,20 @@ def initial(frequency: np.ndarray, seed: int) -> dict[str, np.ndarray]:
 
 
 def flatten(net: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([net[k].ravel() for k in SHAPES])
+    return np.concatenate([net[k].ravel() for k in shapes(net["token_bias"].size)])
 
 
 def unflatten(values: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, shape in SHAPES.items():
+    for k, shape in shapes(tokens_of(len(values))).items():
         size = int(np.prod(shape))
         out[k] = np.asarray(values[at : at + size], np.float32).reshape(shape)
         at += size
     return out
 
 
-def beside(tokens: np.ndarray, first: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-    """The tokens beside each position (or those ``at``), EDGE beyond a text's ends."""
+def beside(tokens: np.ndarray, first: np.ndarray, edge: int, at: np.ndarray | None = None) -> np.ndarray:
+    """The tokens beside each position (or those ``at``), ``edge`` beyond a text's ends."""
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.arange(len(tokens)) if at is None else at
     low, high = first[text[at]], first[text[at] + 1]
@@ -109,7 +132,7 @@ def beside(tokens: np.ndarray, first: np.ndarray, at: np.ndarray | None = None)
     for k, shift in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         other = at + shift
         inside = (other >= low) & (other < high)
-        out[k] = np.where(inside, tokens[np.clip(other, 0, len(tokens) - 1)], EDGE)
+        out[k] = np.where(inside, tokens[np.clip(other, 0, len(tokens) - 1)], edge)
     return out
 
 
@@ -129,14 +152,15 @@ def log_softmax(logits: np.ndarray) -> np.ndarray:
 def log_probabilities(net: dict[str, np.ndarray], tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Each token's log-probability, given the tokens beside it."""
     out = np.empty(len(tokens), np.float64)
+    classes, in_class = net["token_bias"].shape
     for a in range(0, len(tokens), 1 << 16):
         at = np.arange(a, min(len(tokens), a + (1 << 16)))
-        h = hidden(net, beside(tokens, first, at))
-        group, inner = np.divmod(tokens[at].astype(np.int64), IN_CLASS)
+        h = hidden(net, beside(tokens, first, classes * in_class, at))
+        group, inner = np.divmod(tokens[at].astype(np.int64), in_class)
         value = log_softmax(h @ net["to_class"] + net["class_bias"])[np.arange(len(at)), group].astype(np.float64)
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        edges = np.searchsorted(group[order], np.arange(classes + 1))
+        for c in range(classes):
             some = order[edges[c] : edges[c + 1]]
             if len(some):
                 value[some] += log_softmax(h[some] @ net["to_token"][c] + net["token_bias"][c])[np.arange(len(some)), inner[some]]
@@ -195,7 +219,7 @@ def tokenise(token, stride: int):
             part, key = batch.column(0), batch.column(1)
             for i, j in textcore.chunks(offsets):
                 hashes, first = words_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                tokens = of[slot(hashes)].astype(np.int32)
+                tokens = of[slot(hashes)]
                 some = np.flatnonzero(np.diff(first))
                 shift = (hashes[first[:-1][some]] % np.uint64(stride)).astype(np.int32)
                 own = [tokens[first[k] : first[k + 1]].tobytes() for k in some]
@@ -218,7 +242,7 @@ def train_parts(now, stride: int, rate: float):
         every = np.flatnonzero((np.arange(len(tokens)) - first[text] + shift[text]) % stride == 0)
         for a in range(0, len(every), 1 << 16):
             at = every[a : a + (1 << 16)]
-            learn(net, tokens[at], beside(tokens, first, at), rate)
+            learn(net, tokens[at], beside(tokens, first, net["token_bias"].size, at), rate)
         # Whole numbers, so that the order of adding doesn't matter; the weight counts as one more parameter.
         weight = (len(every) + 1023) // 1024
         sums = np.append(np.rint(flatten(net).astype(np.float64) * SCALE).astype(np.int64), 1) * weight
@@ -241,18 +265,18 @@ def train_parts(now, stride: int, rate: float):
     return run
 
 
-def fit(docs: DataFrame, text_col: str = "text", stride: int = 1, rate: float = 1.0, seed: int = 11, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
-    """The token of each bucket, and the parameters."""
+def fit(docs: DataFrame, text_col: str = "text", stride: int = 1, rate: float = 1.0, seed: int = 11, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token of each bucket, the logarithm of the bucket's share of it, and the parameters."""
     runtime.prepare(docs, __name__, textcore.__name__, runtime.__name__)
     context = docs.sparkSession.sparkContext
     text = F.col(f"`{text_col}`").cast("string")
     texts = docs.select(text.alias("_text"))
     counts = runtime.add_arrays(texts.mapInArrow(count_words, "block int, salt int, payload binary"), BUCKETS, "int64")
-    token, frequency = vocabulary(counts)
+    token, frequency, share = vocabulary(counts)
     fitted = flatten(initial(frequency, seed))
     total = int(counts.sum())
     if not total:
-        return token, fitted
+        return token, share, fitted
     parts = max(1, total // PART_TOKENS)
     rounds = min(ROUNDS, parts)
     # By id and text, so that exact copies are dealt apart.
@@ -266,10 +290,10 @@ def fit(docs: DataFrame, text_col: str = "text", stride: int = 1, rate: float =
         sums = runtime.add_arrays(nets, len(fitted) + 1, "int64")
         if sums[-1]:
             fitted = (sums[:-1] / (sums[-1] * SCALE)).astype(np.float32)
-    return token, fitted
+    return token, share, fitted
 
 
-def score(docs: DataFrame, fitted: tuple[np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, fitted: tuple[np.ndarray, np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id, n_tokens, log_prob (the sum) and mean_log_prob."""
     runtime.prepare(docs, __name__, textcore.__name__, runtime.__name__)
     sent = docs.sparkSession.sparkContext.broadcast(fitted)
@@ -278,13 +302,13 @@ def score(docs: DataFrame, fitted: tuple[np.ndarray, np.ndarray], id_col: str =
     def run(batches):
         import pyarrow as pa
 
-        of, net = sent.value[0], unflatten(sent.value[1])
+        of, share, net = *sent.value[:2], unflatten(sent.value[2])
         for batch in batches:
             data, offsets = textcore.column_bytes(batch.column(1))
             many, total = [np.empty(0, np.int64)], [np.empty(0)]
             for i, j in textcore.chunks(offsets):
                 hashes, first = words_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                logs = log_probabilities(net, of[slot(hashes)], first)
+                logs = log_probabilities(net, of[slot(hashes)], first) + share[slot(hashes)]
                 sums = np.concatenate(([0], np.cumsum(np.rint(logs * (1 << 20)).astype(np.int64))))  # whole numbers: the order doesn't matter
                 many.append(np.diff(first))
                 total.append((sums[first[1:]] - sums[first[:-1]]) / (1 << 20))
