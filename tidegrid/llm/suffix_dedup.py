@@ -6,8 +6,8 @@ repeated string meet under one anchor, whatever documents they are in.  The stre
 and form a context.  Anchors that occur once are dropped after a count that combines before the shuffle.  Contexts
 that are equal as a whole are recognised by their hash and never expanded.  For the others, one copy of
 each goes to the anchor's task, which builds the suffix array of the contexts by prefix doubling (as far as ``length``
-bytes) and from it the longest previous factors, cut off at ``length``: the neighbours in suffix order with smaller
-positions say whether a string also starts earlier, those with any position whether it starts anywhere else.
+bytes).  Longest previous factors are not computed: equal ranks at ``length`` bytes stand in for them, as they say whether a
+string starts earlier or anywhere else, which is all that is asked.  Contexts that are equal as a whole are found by a 64-bit hash.
 An anchor with more than ``HOT`` contexts doesn't go to one task: its stretches are counted by 128-bit hashes, spread over all.
 
 ``keep="first"`` removes later copies, in the order of id, text hash and position; ``keep="none"`` removes every copy.  Strings
