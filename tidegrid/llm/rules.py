@@ -7,8 +7,10 @@ emitted as one ordered Spark conditional expression.
 
 Fitted on at most ``max_rows`` labelled rows, those with the smallest hashes of their ids.  Defined
 results: null and empty texts have zero counts and fail the base rule; without labels of both
-classes the list is empty and the base rule decides alone; rows are independent.  Windows are compared by
-64-bit hashes within a text.  Other columns are ignored.
+classes the list is empty and the base rule decides alone; rows are independent, so that repeated rows get equal results; an empty
+table gives an empty result; very long texts are read in parts, of which only numbers a word and line are held.  Equal lines are
+confirmed by their bytes; windows are compared by their words' hashes (modulo a prime, mixed to 64 bits) within a text.  In the
+search for rules the first of equal gains counts, by the order of the features and then of the thresholds.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ DIGIT = np.zeros(256, bool)
 DIGIT[48:58] = True
 MARK = np.zeros(256, bool)
 MARK[list(b"!?")] = True
+FEED = np.zeros(256, bool)
+FEED[10] = True
 LEAD = np.ones(256, bool)
 LEAD[0x80:0xC0] = False
 
@@ -55,23 +59,38 @@ def distinct_by(keys: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(text[order[first]], minlength=n)
 
 
+def repeats(keys: np.ndarray, text: np.ndarray, n: int, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many of each text's stretches equal an earlier one.  Hashes put equal ones side by side, their bytes decide."""
+    tagged = textcore.mix(keys + textcore.mix(text.astype(np.uint64) * textcore.MIX[3]))
+    order = np.argsort(tagged, kind="stable")
+    same = np.flatnonzero(tagged[order][1:] == tagged[order][:-1])
+    one, other = order[same], order[same + 1]
+    length = end - start
+    equal = (text[one] == text[other]) & (length[one] == length[other])
+    equal[equal] = textcore.same_bytes(data, start[one[equal]], start[other[equal]], length[one[equal]])
+    out = np.bincount(text[other], minlength=n)
+    for t in np.unique(np.concatenate((text[one[~equal]], text[other[~equal]]))):  # a collision: count these texts' stretches by their bytes
+        own = np.flatnonzero(text == t)
+        out[t] = len(own) - len({data[start[k] : end[k]].tobytes() for k in own})
+    return out
+
+
 def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """The counts of some texts, given as UTF-8 bytes."""
+    """The counts of some texts, given as UTF-8 bytes.  Besides the bytes, some 100 bytes a word and line are held."""
     n = len(offsets) - 1
     words = textcore.Words(data, offsets)
-    total = lambda flags: textcore.sums_by(flags, offsets)
-    out = {"n_words": np.diff(words.first), "word_chars": total(~textcore.SPACE[data] & LEAD[data]), "n_symbols": total(SYMBOL[data]), "n_upper": total(UPPER[data]), "n_digits": total(DIGIT[data]), "n_marks": total(MARK[data])}
-    sums = textcore.prefix_sums(data)
-    hashes = textcore.span_hash(sums, words.start, words.end)
+    total = lambda table: textcore.count_bytes(table, data, offsets)
+    out = {"n_words": np.diff(words.first), "word_chars": total(~textcore.SPACE & LEAD), "n_symbols": total(SYMBOL), "n_upper": total(UPPER), "n_digits": total(DIGIT), "n_marks": total(MARK)}
+    hashes = words.hashes()
     # Lines: from each text's start or line feed to the next line feed or the text's end.
-    feed = np.flatnonzero(data == 10)
+    feed = textcore.positions(FEED, data)
     start = np.sort(np.concatenate((offsets[:-1], feed + 1)), kind="stable")
     stop = np.sort(np.concatenate((feed, offsets[1:])), kind="stable")
-    line_text = np.repeat(np.arange(n), textcore.sums_by(data == 10, offsets) + 1)
+    line_text = np.repeat(np.arange(n), np.diff(np.searchsorted(feed, offsets)) + 1)
     has_word = np.searchsorted(words.start, stop) > np.searchsorted(words.start, start)
-    keys = textcore.span_hash(sums, start[has_word], stop[has_word])
     out["n_lines"] = np.bincount(line_text, minlength=n)
-    out["n_dup_lines"] = np.bincount(line_text[has_word], minlength=n) - distinct_by(keys, line_text[has_word], n)
+    start, stop, line_text = start[has_word], stop[has_word], line_text[has_word]
+    out["n_dup_lines"] = repeats(textcore.hashes_of(data, start, stop), line_text, n, data, start, stop)
     # Words in windows that occur again in the same text.
     keys, text = textcore.windows(hashes, words.first, WINDOW)
     found = again(textcore.mix(keys + textcore.mix(text.astype(np.uint64) * textcore.MIX[3])))
@@ -81,8 +100,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     np.add.at(cover, at + WINDOW, -1)
     out["n_repeat_words"] = textcore.sums_by(np.cumsum(cover[:-1]) > 0, words.first)
     out["n_distinct_words"] = distinct_by(hashes, words.text, n)
-    symbol = np.concatenate(([0], np.cumsum(SYMBOL[data])))
-    out["n_symbol_words"] = textcore.sums_by(symbol[words.end] > symbol[words.start], words.first)
+    out["n_symbol_words"] = np.bincount(words.text[np.unique(np.searchsorted(words.end, textcore.positions(SYMBOL, data), "right"))], minlength=n)
     return out
 
 

@@ -4,18 +4,20 @@ Every stretch of ``length`` bytes is assigned to its anchor, the ``GRAM``-byte s
 hash (the leftmost of equals).  Equal stretches have equal anchors at equal offsets, so that all places of a
 repeated string meet under one anchor, whatever documents they are in.  The stretches of one anchor in one place lie in a row
 and form a context.  Anchors that occur once are dropped after a count that combines before the shuffle.  Contexts
-that are equal as a whole are recognised by their hash and never expanded.  For the others, one copy of
-each goes to the anchor's task, which builds the suffix array of the contexts by prefix doubling (as far as ``length``
-bytes).  Longest previous factors are not computed: equal ranks at ``length`` bytes stand in for them, as they say whether a
-string starts earlier or anywhere else, which is all that is asked.  Contexts that are equal as a whole are found by a 64-bit hash.
-An anchor with more than ``HOT`` contexts doesn't go to one task: its stretches are counted by 128-bit hashes, spread over all.
+that are equal as a whole are recognised by their hash (modulo a prime, under an anchor's own 64-bit hash) and never expanded.  For
+the others, one copy of each goes to the anchor's task, which builds the suffix array of the contexts by prefix doubling (as far as
+``length`` bytes) and their longest previous factors: in suffix order, the previous and the next suffix that start earlier give the
+longest earlier match.  Factors of ``length`` bytes are repeats, and what they repeat is their source.  So exact copies of whole contexts
+are found by hashes, and all other repeats by factors, but for an anchor with more than ``HOT`` contexts: these don't go to one task, and
+their stretches are counted by two hashes modulo a prime, spread over all tasks.  Both ways remove the same bytes.
 
 ``keep="first"`` removes later copies, in the order of id, text hash and position; ``keep="none"`` removes every copy.  Strings
 are judged on the input, matches never cross documents, and overlapping removals count once.
 
 Defined results: null and empty texts and texts shorter than ``length`` lose nothing; rows that repeat in id and text are copies of
 one another and get equal results; a null id counts as smaller than any other; an empty table gives an empty result.  What is left of a
-text is bytes, since a cut may fall within a character.
+text is bytes, since a cut may fall within a character.  Very long texts are read in overlapping parts, and only the last step holds
+one as a whole.  Ids must be whole numbers or cast to one; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,11 +32,28 @@ GRAM = 50
 HOT = 20_000
 #: Up to so many rows, lists of contexts or ranges are broadcast; beyond, texts are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 POSITION = np.uint64((1 << 21) - 1)
 LEAST = -(1 << 63)
 
 
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes at each position: by doubling, modulo 2**64.  It only picks anchors and brings equal ones together;
+    what is under an anchor is compared by bytes or by hashes modulo a prime."""
+    step, have, whole = textcore.mix(data.astype(np.uint64) + np.uint64(1)), 1, None
+    done = 0
+    while have <= GRAM:
+        if GRAM & have:  # the next ``have`` bytes of the gram
+            part = step[done:]
+            whole = part.copy() if whole is None else whole[: len(part)] * textcore.MIX[0] + part[: len(whole)]
+            done += have
+        step = step[:-have] * textcore.MIX[3] + step[have:] if 2 * have <= GRAM else step
+        if 2 * have <= GRAM:
+            step ^= step >> np.uint64(29)
+        have *= 2
+    return textcore.mix(whole[: len(data) - GRAM + 1])
+
+
 def sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
     out, have = keys, 1
     while 2 * have <= width:
@@ -50,8 +69,8 @@ def contexts(data: np.ndarray, edges: np.ndarray, length: int) -> tuple[np.ndarr
     if len(data) < length:
         return none
     sums = textcore.prefix_sums(data)
-    at = np.arange(len(data) - GRAM + 1)
-    hashes = textcore.span_hash(sums, at, at + GRAM)
+    hashes = gram_hashes(data)
+    at = np.arange(len(hashes))
     least = sliding_min((hashes & ~POSITION) | at.astype(np.uint64), length - GRAM + 1)
     start = np.arange(len(data) - length + 1)
     start = start[start + length <= edges[np.searchsorted(edges, start, "right")]]
@@ -116,32 +135,76 @@ def cut_contexts(length: int):
     return run
 
 
+def nearest_smaller(order: np.ndarray) -> np.ndarray:
+    """For each place of a sequence, the last place before it with a smaller value (-1 if there is none).
+
+    All places skip larger values at once, by the pointers of the place that they point to, in logarithmically many rounds."""
+    to = np.arange(-1, len(order) - 1)
+    left = np.flatnonzero(to >= 0)
+    while len(left):
+        left = left[order[to[left]] > order[left]]
+        to[left] = to[to[left]]
+        left = left[to[left] >= 0]
+    return to
+
+
+def common_prefixes(joined: np.ndarray, levels: list[tuple[int, np.ndarray]], one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many bytes the strings at two positions share, as far as the last level's size: by the ranks of the sizes, and then by bytes."""
+    whole, ranks = levels[-1]
+    out = np.where(ranks[one] == ranks[other], whole, 0)
+    left = np.flatnonzero(out < whole)
+    for size, ranks in levels[-2::-1]:
+        out[left[ranks[one[left] + out[left]] == ranks[other[left] + out[left]]]] += size
+    for _ in range(levels[0][0] - 1):
+        left = left[joined[one[left] + out[left]] == joined[other[left] + out[left]]]
+        out[left] += 1
+    return out
+
+
+def longest_previous_factors(joined: np.ndarray, levels: list[tuple[int, np.ndarray]], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each start (ascending): the length of the longest string there that also begins at an earlier start, and which one
+    (-1 if there is none).
+
+    Of the earlier starts, the one with the longest common prefix is, in suffix order, the last one before it or the first one
+    after it that is earlier in the text."""
+    n = len(starts)
+    suffix = np.argsort(levels[-1][1][starts], kind="stable")  # the suffix array; equal strings in the order of their positions
+    length, source = np.zeros(n, np.int64), np.full(n, -1)
+    for near in (nearest_smaller(suffix), n - 1 - nearest_smaller(suffix[::-1])[::-1]):
+        some = np.flatnonzero((near >= 0) & (near < n))
+        one, other = suffix[some], suffix[near[some]]
+        common = common_prefixes(joined, levels, starts[one], starts[other])
+        longer = common > length[one]
+        length[one[longer]], source[one[longer]] = common[longer], other[longer]
+    return length, source
+
+
+def ranks_by_doubling(joined: np.ndarray, n: int, length: int) -> list[tuple[int, np.ndarray]]:
+    """The ranks of the strings of 8, 16, 32 ... and ``length`` bytes at the first n positions; ``joined`` has 8 bytes more."""
+    rank = np.unique(np.ndarray((n,), np.dtype(">u8"), joined, 0, (1,)).astype(np.uint64), return_inverse=True)[1].astype(np.uint32)
+    levels = [(8, rank)]
+    while levels[-1][0] < length:
+        have, rank = levels[-1]
+        step = min(have, length - have)
+        further = np.zeros(n, np.uint64)
+        further[: n - step] = rank[step:]
+        levels.append((have + step, np.unique((rank.astype(np.uint64) << np.uint64(32)) | further, return_inverse=True)[1].astype(np.uint32)))
+    return levels
+
+
 def factors(texts: list[bytes], many: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the first ``many`` positions of each text: whether the string of ``length`` bytes there also starts earlier in
     the list, whether it starts anywhere else, and the texts' first positions.
 
-    Ranks of 8 bytes are doubled to 16, 32 ... and, overlapping, to ``length`` bytes: their order is the suffix order.
-    """
+    It starts earlier if the longest previous factor there has ``length`` bytes, and later if it is the source of one that has."""
     sizes = np.array([len(t) for t in texts])
     begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     joined = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
-    n = len(joined) - 8
-    have = 8
-    rank = np.unique(np.ndarray((n,), np.dtype(">u8"), joined, 0, (1,)).astype(np.uint64), return_inverse=True)[1].astype(np.uint64)
-    while have < length:
-        step = min(have, length - have)
-        further = np.zeros(n, np.uint64)
-        further[: n - step] = rank[step:]
-        rank = np.unique((rank << np.uint64(32)) | further, return_inverse=True)[1].astype(np.uint64)
-        have += step
     starts = np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    own = rank[starts]
-    suffix = np.argsort(own, kind="stable")  # the suffix array of these positions; equal strings by position
-    reaches = own[suffix][1:] == own[suffix][:-1]  # the common prefix with the neighbour has ``length`` bytes
-    earlier, twice = np.zeros(len(own), bool), np.zeros(len(own), bool)
-    earlier[suffix[1:][reaches]] = True  # the neighbour before it is at a smaller position
-    twice[suffix[1:][reaches]] = True
-    twice[suffix[:-1][reaches]] = True
+    lpf, source = longest_previous_factors(joined, ranks_by_doubling(joined, len(joined) - 8, length), starts)
+    earlier = lpf >= length
+    twice = earlier.copy()
+    twice[source[earlier]] = True
     return earlier, twice, np.concatenate(([0], np.cumsum(many)))
 
 
