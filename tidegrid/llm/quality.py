@@ -41,32 +41,32 @@ class Model:
     bias: float
 
 
-def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points, with one line feed before each text and one at the end, and where each text's line feed is."""
+def features(texts: list[str], repeats: bool = True):
+    """Pieces of the texts' features: feature numbers, and where each text's begin (and the last one's end)."""
+    data, offsets = textcore.joined_bytes([x.encode("utf-8", "surrogatepass") for x in texts])
+    words = textcore.Words(data, offsets)
+    hashes = words.hashes()
+    yield (hashes >> np.uint64(64 - BITS[0])).astype(np.int64), words.first
+    if repeats:
+        yield np.where(repeated(hashes, words.first), REPEATED, FRESH), words.first
+    # Characters, with a line feed before each text and at the end; a gram belongs to the piece in which it begins.
     joined = "\n" + "\n".join(texts) + "\n"
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.cumsum([len(x) + 1 for x in texts])
-    return codes, np.concatenate(([0], ends))
+    edges = np.concatenate(([0], np.cumsum([len(x) + 1 for x in texts])))
+    for a in range(0, len(joined), textcore.CHUNK):
+        codes = np.frombuffer(joined[a : a + textcore.CHUNK + 3].encode("utf-32-le", "surrogatepass"), np.uint32)
+        for number, where in grams(codes, min(textcore.CHUNK, len(joined) - a)):
+            yield number, np.searchsorted(where, edges - a)
 
 
-def features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each table: feature numbers and the positions they are at."""
-    codes, edges = characters(texts)
+def grams(codes: np.ndarray, most: int):
+    """The 3- and 4-grams that begin in the first ``most`` characters: numbers and places.  Only a gram's ends may be blank."""
     blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
-    c = np.where(blank, np.uint32(1), codes)
-    n = len(c)
-    up, down = textcore.powers(n + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((c.astype(np.uint64) + textcore.MIX[3]) * up[:n])))
-    start = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
-    end = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
-    words = textcore.mix((sums[end] - sums[start]) * down[start])
-    out = [((words >> np.uint64(64 - BITS[0])).astype(np.int64), start), (np.where(repeated(words, np.searchsorted(start, edges)), REPEATED, FRESH), start)]
     k = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
-    d = c * np.uint32(0xCC9E2D51)
+    d = np.where(blank, np.uint32(1), codes) * np.uint32(0xCC9E2D51)
     d ^= d >> np.uint32(15)
     solid = ~blank
     for size, bits, at in ((3, BITS[1], STARTS[1]), (4, BITS[2], STARTS[2])):
-        m = max(0, n - size + 1)
+        m = max(0, min(most, len(codes) - size + 1))
         h = np.zeros(m, np.uint32)
         whole = np.ones(m, bool)
         for j in range(size):
@@ -77,8 +77,7 @@ def features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         h = h[where]
         h ^= h >> np.uint32(16)
         h *= np.uint32(0x7FEB352D)
-        out.append(((h >> np.uint32(32 - bits)).astype(np.int64) + at, where))
-    return out
+        yield (h >> np.uint32(32 - bits)).astype(np.int64) + at, where
 
 
 def repeated(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -112,17 +111,21 @@ def text_chunks(column):
         yield first, batch
 
 
+def counted(text: str) -> tuple[bytes, bytes]:
+    """A text's distinct features and their counts, for training."""
+    number, many = np.empty(0, np.int64), np.empty(0, np.int64)
+    for some, _ in features([text]):
+        number, at = np.unique(np.concatenate((number, some)), return_inverse=True)
+        many = np.bincount(at, weights=np.concatenate((many, np.ones(len(some), np.int64)))).astype(np.int64)
+    return number.astype(np.uint32).tobytes(), np.minimum(many, (1 << 32) - 1).astype(np.uint32).tobytes()
+
+
 def sparse_rows(batches):
-    """Each text's distinct features and their counts, for training."""
     import pyarrow as pa
 
     for batch in batches:
-        ids, counts = [], []
-        for text in batch.column(1).to_pylist():
-            number, many = np.unique(np.concatenate([x for x, _ in features([text or ""])]), return_counts=True)
-            ids.append(number.astype(np.uint32).tobytes())
-            counts.append(np.minimum(many, 65535).astype(np.uint16).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["label", "features", "counts"])
+        pairs = [counted(text or "") for text in batch.column(batch.num_columns - 1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(batch.num_columns - 1)), pa.array([x for x, _ in pairs], pa.binary()), pa.array([x for _, x in pairs], pa.binary())], names=[*batch.schema.names[:-1], "features", "counts"])
 
 
 def train(rows: list[tuple[int, bytes, bytes]], dim: int = 8, epochs: int = 8, rate: float = 0.4, batch: int = 16, seed: int = 5) -> Model:
@@ -134,7 +137,7 @@ def train(rows: list[tuple[int, bytes, bytes]], dim: int = 8, epochs: int = 8, r
         return Model(np.zeros(FEATURES, np.int32), float(np.clip(np.log(max(share, 1e-6) / max(1 - share, 1e-6)), -4, 4)))
     docs = []
     for _, ids, counts in rows:
-        weight = np.frombuffer(counts, np.uint16).astype(np.float32)
+        weight = np.frombuffer(counts, np.uint32).astype(np.float32)
         docs.append((np.frombuffer(ids, np.uint32), weight / max(weight.sum(), 1)))
     table = random.uniform(-1 / dim, 1 / dim, (FEATURES, dim)).astype(np.float32)
     out, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
@@ -162,26 +165,33 @@ def train(rows: list[tuple[int, bytes, bytes]], dim: int = 8, epochs: int = 8, r
 
 
 def score_texts(texts: list[str], model: Model) -> np.ndarray:
-    _, edges = characters(texts)
     total, count = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    for number, where in features(texts):
-        at = np.searchsorted(where, edges)
+    for number, at in features(texts):
         total += textcore.sums_by(model.weights[number], at)
         count += np.diff(at)
     logit = model.bias + total / (np.maximum(count, 1) * float(FIXED))
     return np.round(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 9)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train_on: Column | None = None, max_rows: int = 4000, seed: int = 5) -> Model:
-    """Fit on at most ``max_rows`` rows of ``labels`` (those with the smallest id hashes where ``train_on`` holds)."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train_on: Column | None = None, max_rows: int = 4000, max_bytes: int = 256 << 20, seed: int = 5) -> Model:
+    """Fit on at most ``max_rows`` rows of ``labels`` (those with the smallest id hashes where ``train_on`` holds), and of these on as many
+    as ``max_bytes`` of features hold, in the same order."""
     runtime.prepare(docs, __name__, textcore.__name__)
     known = labels.where(train_on) if train_on is not None else labels
     known = known.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("_label")).dropna().where("_label IN (0, 1)")
-    known = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(max_rows)
-    texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(F.broadcast(known), "_id").select("_label", "_text", "_id")
-    rows = texts.select("_label", "_text").mapInArrow(sparse_rows, "label int, features binary, counts binary").collect()
-    rows = sorted((r.label, bytes(r.features), bytes(r.counts)) for r in rows)
-    return train(rows, seed=seed)
+    known = known.groupBy("_id").agg(F.max("_label").alias("_label")).withColumn("_h", F.xxhash64("_id", F.lit(seed))).orderBy("_h", "_id").limit(max_rows)
+    texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")).join(F.broadcast(known), "_id").select("_h", "_label", "_text")
+    rows = runtime.settle(texts.mapInArrow(sparse_rows, "_h bigint, label int, features binary, counts binary"))
+    # First the sizes alone come to the driver (two numbers a row, at most a few rows for each of ``max_rows`` ids), then what fits.
+    sizes = rows.groupBy("_h").agg(F.sum(F.octet_length("features") + F.octet_length("counts")).alias("n")).orderBy("_h").collect()
+    held, last = 0, None
+    for h, n in sizes:
+        held += n
+        if held > max_bytes:
+            break
+        last = h
+    rows = rows.where(F.col("_h") <= last).collect() if last is not None else []
+    return train(sorted((r.label, bytes(r.features), bytes(r.counts)) for r in rows), seed=seed)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_at: float | None = None) -> DataFrame:
