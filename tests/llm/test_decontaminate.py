@@ -1,4 +1,5 @@
 import random
+import re
 
 from tests.llm.common import frame, rows, values, with_clashes, words
 from tidegrid.llm import decontaminate
@@ -38,6 +39,9 @@ def test_brute_force(spark):
     bench = spark.createDataFrame([*items, (90, None), (91, "short"), (92, "")], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.contaminated(with_clashes(frame(spark, data + rows())), bench).collect()}
     index = decontaminate.Index(items)
+    items = [*items, (91, "short")]
+    index.ids.append(91)
+    index.budget = [*index.budget, 0]
     want = {}
     for i, text, *_ in data + rows():
         for k, item in items:
@@ -47,6 +51,46 @@ def test_brute_force(spark):
     assert got == want and len(want) > 10
 
 
+def test_the_budget_is_a_tenth_at_every_length():
+    for m in range(1, 1500):
+        index = decontaminate.Index([(1, "x" * m)])
+        assert index.budget[0] == (m // 10 if m >= 16 else 0) and index.least[0] >= (2 if m >= 16 else 1)
+
+
+def test_items_of_all_lengths(spark):
+    rng = random.Random(8)
+    items, data = [], []
+    for m in [1, 2, 5, 7, 8, 9, 15, *range(16, 100, 4)]:
+        item = "".join(rng.choice("abcdefghij") for _ in range(m))
+        items.append((m, item))
+        x = list(item)
+        for k in rng.sample(range(m), m // 10 if m >= 16 else 0):
+            x[k] = "Z"
+        data += [(m, words(30, m) + " (" + "".join(x) + ") " + words(5, m + 1), None, None, None), (m + 1000, words(30, m) + " b" + item[:-1] + "ZZ", None, None, None)]
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.contaminated(frame(spark, data), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    want = {}
+    for i, text, *_ in data:
+        for k, item in items:
+            d = distance(item, decontaminate.normal(text))
+            if k < 16 and re.search(rf"(?<!\w){item}(?!\w)", decontaminate.normal(text)):
+                want[i, k] = 0
+            elif k >= 16 and d <= k // 10:
+                want[i, k] = d
+    assert got == want and {m for m, _ in items} <= {i for i, _ in got}
+
+
+def test_long_texts_and_shared_grams(monkeypatch):
+    opening = words(15, 77)
+    items = [(k, opening + " " + words(8, 300 + k)) for k in range(200)]
+    index = decontaminate.Index(items)
+    texts = [words(500, 1) + " " + items[17][1] + " " + words(30, 2), None, "", items[3][1][:-3], opening]
+    whole = decontaminate.matches(texts, index)
+    assert {(t, i) for t, i, *_ in whole} >= {(0, 17), (3, 3)}
+    monkeypatch.setattr(decontaminate, "CHUNK_CHARS", 64)
+    monkeypatch.setattr(decontaminate, "MOST_HITS", 50)
+    assert decontaminate.matches(texts, index) == whole
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     data, items = planted()
     bench = spark.createDataFrame(items, "item_id bigint, text string")
