@@ -52,6 +52,11 @@ def test_base_spans():
         ("host one nine two dot one six eight dot zero dot one end", "ip", "one nine two dot one six eight dot zero dot one"),
         ("１９２.168.0.1", "ip", "１９２.168.0.1"),
         ("four one one one one one one one one one one one one one one one", "card", "four one one one one one one one one one one one one one one one"),
+        ("j.doe at example.com", "email", "j.doe at example.com"),
+        ("bob_at_example.com", "email", "bob_at_example.com"),
+        ("bob at mail dot museum", "email", "bob at mail dot museum"),
+        ("bob\u2003[\u2003at\u2003]\u2003example.com", "email", "bob\u2003[\u2003at\u2003]\u2003example.com"),
+        ("call five five five five one two three four five six", "phone", "five five five five one two three four five six"),
         ("b​ob@mail.com", "email", "b​ob@mail.com"),
     ],
 )
@@ -60,11 +65,23 @@ def test_disguises(text, kind, found):
     assert (kind, found) in got
 
 
-@pytest.mark.parametrize("text", ["look at the dot product of a and b", "one two three go", "meet me at noon", "at home (at last) I saw [dot] signs", "the two of one hundred and five", "Привет мир", "naïve café", "see you at example.com"])
+@pytest.mark.parametrize("text", ["look at the dot product of a and b", "one two three go", "meet me at noon", "at home (at last) I saw [dot] signs", "the two of one hundred and five", "Привет мир", "naïve café", "zero one two three four five six seven eight nine", "null " * 10, "nine eight seven six five four three two one zero", "see you at example.com"])
 def test_clean_texts(text):
     assert pii.spans_of(text) == []
 
 
+def test_what_hides_is_looked_at():
+    """The filter that picks texts for Python passes every text in which Python finds something disguised."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [f"bob{b}[{b}at{b}]{b}x.example.com" for b in blanks] + [b.join("plus one three eight nine five five five five zero one zero".split()) for b in blanks]
+    for text in texts:
+        hides = any(pc.match_substring_regex(pa.array([text]), pattern)[0].as_py() for pattern in (pii.DISGUISED, pii.FOLDED))
+        assert hides or not pii.disguised(text), text
+
+
 def test_query(spark):
     data = [(k, t, None, None, None) for k, t in enumerate(TEXTS)] + rows()
     out = pii.pii_digest(with_clashes(frame(spark, data))).collect()

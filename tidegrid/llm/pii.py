@@ -8,7 +8,8 @@ span that needs no rewriting is left to the base patterns.
 
 Offsets are code points, end exclusive.  Defined results: null and empty texts have no spans; every
 detector is linear in the text; rows are independent, so that repeated rows get equal results and an
-empty table an empty one.  Other columns are kept as they are.
+empty table an empty one; of overlapping spans of a kind the base one counts.  ``find_pii`` returns the id and the spans alone, and ``mask_pii``
+keeps all columns, whatever their names.  Texts are read as wholes, so that a very long one takes some 30 bytes a character where it hides something.
 """
 
 from __future__ import annotations
@@ -43,6 +44,12 @@ SIGNS = {"\uff20": "@", "\ufe6b": "@", "\u2024": ".", "\u3002": ".", "\uff61": "
 #: Characters without a shape.
 HIDDEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 FEWEST_SPELLED = 4
+#: Last parts of domains that a spelled "at" with a plain dot, or one of more than four letters, needs.
+DOMAINS = frozenset("com org net edu gov mil int info biz name mobi museum travel jobs online store shop cloud email agency academy company digital group network systems technology university app dev ai io co me eu uk us ca au nz ie de at ch fr be nl lu it es pt mx ar cl pe br pl cz dk se no fi ru jp cn in kr".split())
+#: Words that announce a phone number.
+CUE = re.compile(r"(?i)(?:phone|tel|call|dial|mobile|cell|fax|whatsapp|number|reach|contact|sms|anruf|ruf|nummer|handy|appel|num[eé]ro|portable|tel[eé]fono|llam|m[oó]vil)")
+#: What Python's \s matches, spelled out for RE2, whose own is ASCII alone.
+BLANK = "[\\t\\n\\x0b\\f\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
 def _folds() -> dict[int, str]:
@@ -65,7 +72,8 @@ SPELLED = re.compile(rf"(?<!\w)(?:(?P<plus>plus)[\s-]+)?(?:{_digit}|[0-9](?![0-9
 SPELLED_TOKEN = re.compile(rf"(?P<plus>plus)|(?P<dot>dot|point|punkt|punto)|(?P<word>{_digit})|(?P<digit>[0-9])", re.I)
 #: What RE2 looks for, so that Python sees only texts that may hold something.
 PLAIN = r"@|[0-9]\.[0-9]|\+[0-9]|(?:[0-9][ -]?){15}[0-9]"
-DISGUISED = rf"(?i)[\[({{<]\s?(?:at|@|arroba|chez|dot|punto|punkt|point|\.)\s?[\])}}>]| dot |_dot_| @ |(?:{_digit}|[0-9])[\s,()-]{{1,3}}(?:(?:dot|point|punkt|punto)[\s-]+)?{_digit}[\s,()-]{{1,3}}(?:(?:dot|point|punkt|punto)[\s-]+)?(?:{_digit}|[0-9])"
+_separators = rf"(?:{BLANK}|[,()-]){{1,3}}(?:(?:dot|point|punkt|punto)(?:{BLANK}|-)+)?"
+DISGUISED = rf"(?i)[\[({{<]{BLANK}?(?:at|@|arroba|chez|dot|punto|punkt|point|\.){BLANK}?[\])}}>]| dot |_dot_| @ |_at_| at [a-z0-9-]+\.[a-z0-9]|(?:{_digit}|[0-9]){_separators}{_digit}{_separators}(?:{_digit}|[0-9])"
 
 
 def luhn(digits: str) -> bool:
@@ -132,18 +140,41 @@ class Rewritten:
 
 
 def bare_edits(text: str) -> list[tuple[int, int, str]]:
-    """Signs written as words, in what is an address as a whole; a spelled dot is asked for, as words like "at" occur by themselves."""
-    out = []
-    if " dot " not in text.lower() and "_dot_" not in text.lower() and " @ " not in text:
+    """Signs written as words, in what is an address as a whole.
+
+    Words like "at" and "dot" occur by themselves.  So a spelled dot needs a last part of at most four letters or one of ``DOMAINS`` ("look at the
+    dot product" has neither); a spelled "at" with plain dots alone needs one of ``DOMAINS`` and, as a word of its own, a local part that looks like one."""
+    out, low = [], text.lower()
+    if not any(x in low for x in (" dot ", "_dot_", " @ ", " at ", "_at_")):
         return out
     for m in BARE.finditer(text):
         signs = list(BARE_SIGN.finditer(text, m.start(), m.end()))
-        # A last part of more than four letters is likelier a word ("look at the dot product").
-        if (any(x["dot"] for x in signs) and re.fullmatch(r"[A-Za-z]{2,4}", re.split(r" dot |_dot_|\.", m[0], flags=re.I)[-1])) or any(x[0] == " @ " for x in signs):
+        last = re.split(r" dot |_dot_|\.", m[0], flags=re.I)[-1].lower()
+        known = last in DOMAINS
+        if any(x["dot"] for x in signs):
+            fits = known or re.fullmatch(r"[a-z]{2,4}", last)
+        elif any(x[0] == " @ " for x in signs):
+            fits = True
+        else:
+            local = re.split(r" at |_at_", m[0], maxsplit=1, flags=re.I)[0]
+            fits = known and signs and (signs[0][0].lower() == "_at_" or re.search(r"[A-Za-z0-9][0-9._-]+[A-Za-z0-9]|[0-9]$", local))
+        if fits:
             out += [(x.start(), x.end(), "@" if x["at"] else ".") for x in signs]
     return out
 
 
+def is_counting(digits: str) -> bool:
+    """Whether digits look counted or repeated rather than dialled: all but one of them go up or down by one, or there are fewer than four different ones."""
+    steps = [(int(b) - int(a)) % 10 for a, b in zip(digits, digits[1:], strict=False)]
+    run, last = 0, None
+    for step in steps:
+        run = run + 1 if step == last else 1
+        last = step
+        if step in (1, 9) and run >= len(digits) - 2:
+            return True
+    return len(set(digits)) < 4
+
+
 def spelled_edits(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in SPELLED.finditer(text):
@@ -169,10 +200,11 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
         return []
     found = detect(new.text)
     found["email"] = [(a, b) for a, b in found["email"] if re.fullmatch(r"[A-Za-z]{2,24}", new.text[a:b].rpartition(".")[2])]
-    # A number that is spelled out is a phone number without a plus, too.
+    # A number that is spelled out is a phone number without a plus, too, if a word says so or it doesn't look like counting.
     taken = [x for k in ("ip", "card", "phone") for x in found[k]]
     for m in re.finditer(r"(?<![0-9.+])[0-9]{10,15}(?![0-9.])", new.text):
-        if sum(new.changed[m.start() : m.end()]) >= 8 and not any(a < m.end() and m.start() < b for a, b in taken):
+        said = CUE.search(new.text, max(0, m.start() - 40), m.start()) is not None
+        if sum(new.changed[m.start() : m.end()]) >= 8 and (said or not is_counting(m[0])) and not any(a < m.end() and m.start() < b for a, b in taken):
             found["phone"].append(m.span())
     return [(kind, *new.source(a, b)) for kind in KINDS for a, b in found[kind] if any(new.changed[a:b])]
 
