@@ -65,10 +65,19 @@ def strides(frames: DataFrame) -> DataFrame:
     left = F.coalesce(F.col("_vl"), F.lit(float("inf"))) <= F.coalesce(F.col("_vr"), F.lit(float("inf")))
     out = out.withColumn("foot_contact", series.foot_contact(slowest, F.col("v_yds"))).withColumn("_foot", F.when(left, F.col("ankle_l")).otherwise(F.col("ankle_r")))
     touches = kernels.find_touchdowns(out.select("run_id", "frame", "foot_contact", "_foot", "v_yds", "k0"), ["run_id"], "frame", "foot_contact", "_foot", "v_yds", "k0")
+    out = with_errors(out, kernels.failures(touches, ["run_id"]))
     touches = touches.where(F.col("error").isNull()).select("run_id", "frame", "place")
     return series.hold_steps(out, touches, ["run_id"], "frame", "place").drop("_al", "_ar", "_gl", "_gr", "_vl", "_vr", "_foot")
 
 
+def with_errors(frames: DataFrame, *failed: DataFrame) -> DataFrame:
+    """The column ``error``: the first message that a run's scans left, or the one that is there already."""
+    out = frames if "error" in frames.columns else frames.withColumn("error", F.lit(None).cast("string"))
+    for f in failed:
+        out = out.join(f.groupBy("run_id").agg(F.min("error").alias("_error")), "run_id", "left").withColumn("error", F.coalesce("error", "_error")).drop("_error")
+    return out
+
+
 def finish_channels(frames: DataFrame) -> DataFrame:
     """Rounding, and the flag for frames whose core channels are there."""
     out = round_floats(frames, 3, [c for c in NAMES if c != "foot_contact"])
@@ -90,6 +99,7 @@ def metrics(frames: DataFrame, runs: DataFrame, support: DataFrame, crossings: D
         F.min("_corr").alias("panel_min_corr"), F.max("_cut").alias("max_cut"), F.min("_turf").alias("turf_min"), F.median("_turf").alias("turf_median"),
         F.avg(F.coalesce(F.col("on_lane"), F.lit(False)).cast("double")).alias("lane_frac"), F.count("x_yd").alias("_seen"),
     )
+    errors = (frames if "error" in frames.columns else frames.withColumn("error", F.lit(None).cast("string"))).groupBy("run_id").agg(F.min("error").alias("error"))
     stop = F.col("k0") + F.col("final_time") * FPS
     around = every.where(F.col("frame").between(F.greatest(F.lit(0), F.floor("k0") - 3), F.least(F.col("n"), F.ceil(stop) + 4) - 1)).select("run_id", "frame", "x_yd")
     at = r.select("run_id", F.explode(F.array("k0", stop)).alias("_at"))
@@ -98,12 +108,12 @@ def metrics(frames: DataFrame, runs: DataFrame, support: DataFrame, crossings: D
     steps = relational.largest_step(around, ["run_id"], "frame", "x_yd", "max_step_yd")
     lines = crossings.where((F.col("yd") > 2) & (F.col("yd") < 38)).groupBy("run_id").agg(fits.multiple_residual(F.col("yd")).alias("yardline_resid"))
     out = runs.select("run_id", "k0", "final_time", "clip_frames", "clock_resid_p95", "n_clock", "bib_agree").join(out, "run_id", "left")
-    for more in (places, steps, lines, support.select("run_id", "start_support")):
+    for more in (places, steps, lines, support.select("run_id", "start_support"), errors):
         out = out.join(more, "run_id", "left")
     size = window_size(F.col("k0"), F.col("final_time"), F.col("clip_frames"))
     return out.select(
         "run_id", "clock_resid_p95", (F.col("n_clock") / F.greatest(F.lit(1.0), F.col("final_time") * FPS)).alias("clock_coverage"), "bib_agree", "panel_min_corr", "max_cut", "turf_min", "turf_median", "lane_frac",
-        (F.col("_seen") / F.greatest(F.lit(1), size)).alias("track_frac"), "start_support", "x_at_stop", "x_at_zero", "max_step_yd", "yardline_resid",
+        (F.col("_seen") / F.greatest(F.lit(1), size)).alias("track_frac"), "start_support", "x_at_stop", "x_at_zero", "max_step_yd", "yardline_resid", "error",
     )
 
 
@@ -117,6 +127,9 @@ def identify(runs: DataFrame, videos: DataFrame, quality: DataFrame) -> DataFram
     """Verdict, duplicates, attempts and status.  ``videos`` gives the order of the sources (column ``number``)."""
     passed, reasons = rulebook.verdict(rulebook.run_rules())
     judged = quality.withColumn("qc_pass", passed).withColumn("qc_reason", reasons)
+    if "error" in quality.columns:  # a run whose scan failed is rejected, and says why
+        failed = F.col("error").isNotNull()
+        judged = judged.withColumn("qc_pass", F.col("qc_pass") & ~failed).withColumn("qc_reason", F.when(failed, F.concat(F.lit("error="), F.col("error"))).otherwise(F.col("qc_reason"))).drop("error")
     out = relational.replace_columns(runs, judged, ["run_id"]).join(learn.small(videos.select("video_id", F.col("number").alias("_v"))), "video_id", "left")
     out = identity.cross_source_duplicates(out, ["athlete", "final_time"], "video_id", ["_v", "t_origin"])
     out = identity.attempts(out, "athlete", ["_v", "t_origin"], ~F.col("duplicate") & ~F.col("off_group"))

@@ -24,11 +24,20 @@ def usable_frames(frames: DataFrame) -> DataFrame:
     return frames.where(lanes.usable(F.col("rows"))).select(*KEY, F.col("rows")[0].alias("near"), F.col("rows")[1].alias("far"))
 
 
+def _noted(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the column ``error``: the message that a run's scans left."""
+    rows = rows if "error" in rows.columns else rows.withColumn("error", F.lit(None).cast("string"))
+    failed = kernels.failures(found, ["run_id"]).groupBy("run_id").agg(F.min("error").alias("_error"))
+    return rows.join(failed, "run_id", "left").withColumn("error", F.coalesce("error", "_error")).drop("_error")
+
+
 def offsets(rows: DataFrame) -> DataFrame:
     """Whole offsets of both rows that make places continuous from frame to frame."""
     sides = F.array(*(F.struct(F.lit(i).alias("row"), lanes.below(F.col(c), F.lit(lanes.MIDDLE)).alias("raw")) for i, c in enumerate(("near", "far"))))
     long = rows.select(*KEY, F.explode(sides).alias("s")).select(*KEY, "s.row", "s.raw")
-    found = kernels.unwrap_offsets(long, ["run_id", "row"], "k", "raw").where("error IS NULL")
+    found = kernels.unwrap_offsets(long, ["run_id", "row"], "k", "raw")
+    rows = _noted(rows, found)
+    found = found.where("error IS NULL")
     side = lambda i, name: found.where(F.col("row") == i).select("run_id", F.col("frame").alias("k"), F.col("offset").alias(name))
     return rows.join(side(0, "off_near"), KEY, "left").join(side(1, "off_far"), KEY, "left")
 
@@ -41,8 +50,8 @@ def _at(points: Column, j: int) -> Column:
     return F.element_at(points, j + 1)
 
 
-def follow(bodies: DataFrame, rows: DataFrame, runs: DataFrame, frames: DataFrame) -> DataFrame:
-    """The runner's keypoints in each frame."""
+def follow(bodies: DataFrame, rows: DataFrame, runs: DataFrame, frames: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The runner's keypoints in each frame, and ``rows`` with what failed."""
     b = bodies.join(rows.select(*KEY, "near", "far"), KEY, "left")
     on = lambda margin: lambda p: F.coalesce(lanes.between_rows(F.col("near"), F.col("far"), (p["x"], p["y"]), margin), F.lit(False))
     core = lanes.body_core(F.col("kpts"), F.col("box"))
@@ -51,15 +60,18 @@ def follow(bodies: DataFrame, rows: DataFrame, runs: DataFrame, frames: DataFram
     last = frames.groupBy("run_id").agg(F.max("k").alias("last"))
     flat = b.select(*KEY, "number", core.alias("c"), off.alias("off"), _count(F.col("kpts"), ANKLES + WRISTS, on(0.6)).alias("inside"), "box").join(runs.select("run_id", "k0"), "run_id").join(last, "run_id")
     flat = flat.select("run_id", F.col("k").alias("frame"), "number", "c.hx", "c.hy", "c.sx", "c.sy", "c.sure", *(F.col("box")[i].cast("double").alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))), "off", "inside", "k0", "last")
-    found = kernels.track_bodies(flat, ["run_id"]).where("error IS NULL").select("run_id", F.col("frame").alias("k"), "number")
-    return found.join(bodies.select(*KEY, "number", "kpts"), [*KEY, "number"]).select(*KEY, "kpts", lanes.midpoint_if_sure(F.col("kpts"), *HIPS, SURE).alias("hip"))
+    tracked = kernels.track_bodies(flat, ["run_id"])
+    found = tracked.where("error IS NULL").select("run_id", F.col("frame").alias("k"), "number")
+    return found.join(bodies.select(*KEY, "number", "kpts"), [*KEY, "number"]).select(*KEY, "kpts", lanes.midpoint_if_sure(F.col("kpts"), *HIPS, SURE).alias("hip")), _noted(rows, tracked)
 
 
 def repaired(rows: DataFrame, runner: DataFrame, runs: DataFrame) -> DataFrame:
     """``rows`` with the far offsets freed of slips."""
     seen = rows.join(runner.select(*KEY, "hip"), KEY, "left").join(runs.select("run_id", "k0"), "run_id")
     seen = seen.select(*KEY, "off_far", lanes.below(F.col("far"), F.col("hip")["x"]).alias("below"), (F.floor("k0") - 5).cast("int").alias("ref"))
-    fixed = kernels.repair_offsets(seen, ["run_id"], "k", "off_far", "below", "ref").where("error IS NULL").select("run_id", F.col("frame").alias("k"), F.col("offset").alias("_far"))
+    found = kernels.repair_offsets(seen, ["run_id"], "k", "off_far", "below", "ref")
+    rows = _noted(rows, found)
+    fixed = found.where("error IS NULL").select("run_id", F.col("frame").alias("k"), F.col("offset").alias("_far"))
     return rows.join(fixed, KEY, "left").withColumn("off_far", F.col("_far")).drop("_far")
 
 
@@ -83,10 +95,10 @@ def starts(rows: DataFrame, runner: DataFrame, marks: DataFrame, runs: DataFrame
 def measure(frames: DataFrame, bodies: DataFrame, lines: DataFrame, marks: DataFrame, runs: DataFrame, low: float = -50.0, high: float = 500.0) -> tuple[DataFrame, DataFrame]:
     """Places and crossings.
 
-    Places: run_id, k, s (periods from the start line, null where unknown), on_lane, theta, w_run and start_support.  Crossings: run_id, k and s of
+    Places: run_id, k, s (periods from the start line, null where unknown), on_lane, theta, w_run, start_support and error (what a run's scan failed of).  Crossings: run_id, k and s of
     each painted line on the far row."""
     rows = offsets(usable_frames(frames))
-    runner = follow(bodies, rows, runs, frames)
+    runner, rows = follow(bodies, rows, runs, frames)
     rows = repaired(rows, runner, runs)
     begin = starts(rows, runner, marks, runs)
     far = F.col("far")
@@ -103,6 +115,7 @@ def measure(frames: DataFrame, bodies: DataFrame, lines: DataFrame, marks: DataF
     full = full.join(side, "run_id", "left")
     s = lanes.place_below(*args, F.col("hip")["x"], F.col("w_run"), F.col("off_far"), F.col("theta"), F.lit(low), F.lit(high)) - F.col("s_start")
     full = full.select(*KEY, s.alias("s"), F.lit(True).alias("on_lane"), "theta", "w_run")
-    places = frames.select(*KEY).join(full, KEY, "left").join(begin.select("run_id", "start_support"), "run_id", "left").withColumn("on_lane", F.coalesce("on_lane", F.lit(False)))
+    errors = rows.groupBy("run_id").agg(F.min("error").alias("error"))
+    places = frames.select(*KEY).join(full, KEY, "left").join(errors, "run_id", "left").join(begin.select("run_id", "start_support"), "run_id", "left").withColumn("on_lane", F.coalesce("on_lane", F.lit(False)))
     crossings = hits.join(known.select(*KEY, "far", "off_far"), KEY).join(begin, "run_id").where("s_start IS NOT NULL").select(*KEY, (lanes.number_at(far, F.col("u")) + F.col("off_far") - F.col("s_start")).alias("s"))
     return places, crossings

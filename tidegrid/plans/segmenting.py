@@ -12,9 +12,12 @@ from tidegrid.operators.series import FPS, clusters
 def detect_runs(readings: DataFrame, low: float = 3.9, high: float = 6.5, tolerance: float = 30) -> DataFrame:
     """Runs in the readings (video_id, t, x, value): slot, x, t_origin, final, and the split that another slot shows.
 
+    A slot whose scan failed has a row with ``error`` alone.
+
     One shuffle by video and slot serves the streaks; splits come from a join of each run with its video's readings by time."""
     seen = clusters(readings.where(F.col("value").isNotNull()), ["video_id"], "x", tolerance)
     found = kernels.find_streaks(seen.select("video_id", "slot", "t", "value"), ["video_id", "slot"], "t", "value")
+    broken = kernels.failures(found, ["video_id", "slot"])
     runs = found.where(F.col("error").isNull() & F.col("final").between(low, high)).drop("error", "first", "last")
     runs = runs.withColumn("until", F.col("t_origin") + F.col("final") + 1.0)
     other = seen.where(F.col("value").between(1.2, 2.5)).select("video_id", F.col("slot").alias("other"), "t", "value", "x")
@@ -24,7 +27,7 @@ def detect_runs(readings: DataFrame, low: float = 3.9, high: float = 6.5, tolera
     counted = seen.join(runs.select("video_id", "slot", "t_origin", "t_last"), ["video_id", "slot"]).where((F.col("t") >= F.col("t_origin")) & (F.col("t") <= F.col("t_last")) & (F.col("value") > 0))
     places = counted.groupBy("video_id", "slot", "t_origin").agg(F.median("x").cast("int").alias("x"))
     keys = ["video_id", "slot", "t_origin"]
-    return runs.drop("until").join(places, keys, "left").join(splits, keys, "left")
+    return runs.drop("until").join(places, keys, "left").join(splits, keys, "left").unionByName(broken, allowMissingColumns=True)
 
 
 def refine_runs(runs: DataFrame, frames: DataFrame, tolerance: float = 30) -> DataFrame:
