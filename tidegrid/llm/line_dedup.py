@@ -6,7 +6,8 @@ one that adaptive execution splits, and dropped positions go back by document).
 
 Defined results: a null text is an empty one and has one empty line; a null id counts as smaller
 than every other id and rows with it are one document; rows with the same id are one document;
-rows that repeat in id and text get the same result.  Other columns are kept as they are, but for n_lines and
+rows that repeat in id and text get the same result; an empty table gives an empty result; a very long text is split in its row, whose lines
+are all held at once.  Ids must be whole numbers or cast to one.  Other columns are kept as they are, but for n_lines and
 n_dropped, which the operator's own replace.
 """
 

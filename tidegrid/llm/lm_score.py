@@ -15,7 +15,8 @@ are averaged by the numbers of tokens.  So each text is learned from once, and t
 partitions (scores only by float32's rounding, in the fourth decimal of the sum).  What is gathered grows with the number of parts.
 
 Defined results: null and empty texts and texts without words have no tokens and a score of 0; the mean is null then; rows are
-independent, repeated rows get equal scores; an empty table gives an empty result.  Other columns are ignored.
+independent, repeated rows get equal scores; words of equal frequency are ranked by their bucket; an empty table gives an empty result.  Of a very
+long text, some 100 bytes a word are held.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -5,13 +5,14 @@ of its words (with their edges), all hashed into tables of fixed size; a softmax
 A mean doesn't show that a text repeats itself, so each word also has one of two features more: whether a
 window of three words around it occurs again in the text, or not.
 Both are trained by stochastic gradient descent in numpy, on at most ``max_rows`` labelled rows, those
-with the smallest hashes of their ids; the fitted tables have a fixed size.  As the output layer is
+with the smallest hashes of their ids, as far as ``max_bytes`` of features go; the fitted tables have a fixed size.  As the output layer is
 linear in the mean, scoring needs one number for each table entry, held as an integer so that a
 score doesn't depend on how rows are batched.
 
 Defined results: null and empty texts have no features and get the model's prior; without labels
-of both classes the score is the share of label 1, or 0.5 without any; rows are independent.  Words
-are runs of characters other than 0x20 and 0x09-0x0D.  Other columns are ignored.
+of both classes (or of an empty table) the score is the share of label 1, or 0.5 without any; an id with several labels has the largest; rows are
+independent, so that repeated rows get equal scores; an empty table gives an empty result.  Words are runs of characters other than 0x20 and
+0x09-0x0D.  Very long texts are read in pieces.  Other columns are kept as they are, but for ``score``, which the operator's own replaces.
 """
 
 from __future__ import annotations

@@ -31,11 +31,12 @@ def prepare(df: DataFrame, *modules: str) -> None:
 def _checkpoints(spark: SparkSession) -> str:
     """The folder for checkpoints: the one in ``spark.checkpoint.dir``, which all executors share.
 
-    Only where that setting is absent (tests, one machine) a temporary folder is set.
-    """
+    Only where that setting is absent on one machine (tests) a temporary folder is set; on a cluster without it this is an error."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint"))
     return context._jsc.sc().getCheckpointDir().get()
 
