@@ -220,3 +220,48 @@ def test_logistic(spark):
     df = spark.createDataFrame(rows, "cls string, x double, y double")
     model = learn.logistic(df, ["x", "y"], "cls")
     assert model.transform(df).agg(F.avg((F.col("prediction") == F.col("_label")).cast("int"))).first()[0] > 0.95
+
+
+def test_nearest_in_blocks_gives_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 6))
+    x[40:50] = x[10:20]  # equal training rows: the first by order counts
+    rows = [(k, "ab"[k % 2], [float(v) for v in x[k]]) for k in range(60)]
+    train = spark.createDataFrame(rows, "n int, l string, v array<double>")
+    test = spark.createDataFrame([(k, [float(v) for v in x[k] + 0.01]) for k in range(30)], "id int, v array<double>")
+    want = [(k, min((float(((x[k] + 0.01 - y) ** 2).sum()), n) for n, y in enumerate(x))) for k in range(30)]
+    for limit, block in ((learn.BROADCAST_BYTES, 2048), (100, 7)):
+        monkeypatch.setattr(learn, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(learn, "BLOCK_ROWS", block)
+        got = {r.id: (r.predicted, r.distance) for r in learn.nearest(test, train, "id", "v", "n", "l").collect()}
+        assert len(got) == 30 and all(got[k] == ("ab"[n % 2], pytest.approx(d)) for k, (d, n) in want)
+
+
+def test_angles_and_distances_of_unknown_points_are_unknown(spark):
+    from tidegrid.functions import geometry, vectors
+
+    one, none = (F.lit(1.0), F.lit(2.0)), (F.lit(None).cast("double"), F.lit(None).cast("double"))
+    r = spark.range(1).select(geometry.joint_angle(one, (F.lit(0.0), F.lit(0.0)), none).alias("a"), geometry.lean(none, one, one).alias("b"), vectors.histogram_distance(F.array(F.lit(1.0)), F.lit(None).cast("array<double>")).alias("c")).first()
+    assert tuple(r) == (None, None, None)
+
+
+def test_equal_rows_stay_as_many(spark):
+    left = spark.createDataFrame([(1, 10.0), (1, 10.0), (2, 50.0)], "k int, x double")
+    right = spark.createDataFrame([(1, 11.0, "a")], "k int, y double, name string")
+    from tidegrid.operators import relational
+
+    assert sorted(map(tuple, relational.first_within(left, right, ["k"], "x", "y", 3, ["name"], ["name"]).collect()), key=str) == [(1, 10.0, "a"), (1, 10.0, "a"), (2, 50.0, None)]
+
+
+def test_a_failed_group_fails_the_job_or_goes_on(spark):
+    import pandas as pd
+
+    def fn(rows):
+        if rows.v.iloc[0] > 1:
+            raise ValueError("broken")
+        return pd.DataFrame({"y": [1.0]})
+
+    found = kernels.grouped(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), ["k"], ["v"], fn, "y double")
+    assert [tuple(r) for r in kernels.failures(found, ["k"]).collect()] == [("b", "ValueError('broken')")]
+    with pytest.raises(Exception, match="broken"):
+        kernels.sound(found).collect()

@@ -29,7 +29,8 @@ def joint_angle(a: Point, b: Point, c: Point) -> Column:
     """Degrees at b between the directions to a and to c."""
     u, v = minus(a, b), minus(c, b)
     cosine = dot(u, v) / (norm(u) * norm(v) + F.lit(TINY))
-    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+    # Least and greatest pass over nulls: an unknown point must not make an angle of 0.
+    return F.when(cosine.isNotNull(), F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))))
 
 
 def lean(top: Point, bottom: Point, forward: Point) -> Column:

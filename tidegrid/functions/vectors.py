@@ -53,7 +53,8 @@ def histogram_distance(a: Column, b: Column) -> Column:
     """Bhattacharyya's distance of two histograms: 0 for equal ones, 1 for disjoint ones."""
     shared = total(F.zip_with(a, b, lambda x, y: F.sqrt(x.cast("double") * y.cast("double"))))
     scale = F.sqrt(total(F.transform(a, lambda v: v.cast("double"))) * total(F.transform(b, lambda v: v.cast("double"))))
-    return F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - F.when(scale > 0, shared / scale).otherwise(F.lit(0.0))))
+    # Null where a histogram is missing (the first frame has none before it), not the distance of disjoint ones.
+    return F.when(scale.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - F.when(scale > 0, shared / scale).otherwise(F.lit(0.0)))))
 
 
 def block_sum(x: Column, columns: int, rows: range, places: range) -> Column:

@@ -38,7 +38,8 @@ def slope_through_zero(x: Column, y: Column) -> Column:
 def grid_fit(df: DataFrame, key: list[str], s: str, spacing: float = 5.0, low: float = 1.9, step: float = 0.0005, count: int = 401, near: float = 0.25, inside: float = 0.3) -> DataFrame:
     """The scale that puts most places near a multiple of ``spacing`` (the first of equals), then least squares over those inside.
 
-    Only the candidates that a place supports are exploded (about a tenth of them), and counted before the shuffle."""
+    The candidates that a place supports are a range for each multiple in reach.  Only where a range begins and ends is sent on, added before the
+    shuffle, and summed along the candidates: two rows for a multiple, whatever the grid's fineness."""
     off = lambda p: F.abs(F.col(s) * p - spacing * F.rint(F.col(s) * p / spacing))
     scale = lambda g: F.lit(low) + g * F.lit(step)
     # Around each multiple in reach lies a range of candidates, a step wider here against rounding; the exact test follows.
@@ -51,9 +52,12 @@ def grid_fit(df: DataFrame, key: list[str], s: str, spacing: float = 5.0, low: f
         return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
 
     multiples = F.sequence(F.floor(size * low / spacing), F.ceil(size * (low + last * step) / spacing))
-    tried = F.when(size < near / 10, F.sequence(F.lit(0), F.lit(last))).otherwise(F.array_distinct(F.flatten(F.transform(multiples, around))))
-    hits = F.filter(tried, lambda g: off(scale(g)) < near)
-    votes = df.where(F.col(s).isNotNull()).select(*key, F.explode(hits).alias("_g")).groupBy(*key, "_g").agg(F.count("*").alias("_n"))
+    ends = lambda a, b: F.array(F.struct(a.alias("g"), F.lit(1).alias("d")), F.struct((b + 1).alias("g"), F.lit(-1).alias("d")))
+    hit = lambda tried: F.filter(tried, lambda g: off(scale(g)) < near)
+    ranges = F.flatten(F.transform(F.filter(F.transform(multiples, lambda n: hit(around(n))), lambda h: F.size(h) > 0), lambda h: ends(h[0], F.element_at(h, -1))))
+    steps = F.when(size < near / 10, ends(F.lit(0), F.lit(last))).otherwise(ranges)
+    votes = df.where(F.col(s).isNotNull()).select(*key, F.explode(steps).alias("_e")).groupBy(*key, F.col("_e.g").alias("_g")).agg(F.sum("_e.d").alias("_d"))
+    votes = votes.withColumn("_n", F.sum("_d").over(Window.partitionBy(*key).orderBy("_g")))
     top = votes.groupBy(*key).agg(F.max(F.struct(F.col("_n"), (-F.col("_g")).alias("_g"))).alias("_t"))
     sizes = df.groupBy(*key).agg(F.count(s).alias("_size")).where("_size > 0")
     best = sizes.join(top, key, "left") if key else sizes.crossJoin(F.broadcast(top))  # without a key, one row each

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,24 +26,88 @@ def as_one_row(df: DataFrame, columns: list[str], order: str, out: str = "_all")
 def template_match(df: DataFrame, vector: str, library: DataFrame, template: str, label: str, order: str) -> DataFrame:
     """The label and score of the template with the largest dot product (the first of equals).
 
-    The library is a fixed set of prototypes: it is checked to be small, broadcast as one array and scored in the row."""
-    if library.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        raise ValueError(f"more than {BROADCAST_ROWS} templates")
-    all_ = as_one_row(library.select(F.col(order).alias("_o"), F.col(label).alias("_l"), F.col(template).alias("_v")), ["_l", "_v"], "_o")
+    The library is broadcast as arrays and scored in the row, in blocks of at most ``BROADCAST_ROWS`` templates; each row keeps the best of a block."""
+    known = library.select(F.col(order).alias("_o"), F.col(label).alias("_l"), F.col(template).alias("_v"))
+    blocks = -(-max(1, known.count()) // BROADCAST_ROWS)
+    out = df.withColumn("_best", F.lit(None).cast(f"struct<score:double,o:{known.schema['_o'].dataType.simpleString()},label:{known.schema['_l'].dataType.simpleString()}>"))
     scored = F.transform("_all", lambda t: F.struct(vectors.dot(F.col(vector), t["_v"]).alias("score"), (-t["_o"]).alias("o"), t["_l"].alias("label")))
-    return df.crossJoin(F.broadcast(all_)).withColumn("_best", F.array_max(scored)).drop("_all").withColumn("label", F.col("_best.label")).withColumn("score", F.col("_best.score")).drop("_best")
+    for k in range(blocks):
+        all_ = as_one_row(known.where(F.pmod(F.xxhash64("_o"), F.lit(blocks)) == k), ["_l", "_v"], "_o")
+        out = out.crossJoin(F.broadcast(all_)).withColumn("_best", F.greatest("_best", F.array_max(scored))).drop("_all")
+    return out.withColumn("label", F.col("_best.label")).withColumn("score", F.col("_best.score")).drop("_best")
+
+
+#: Training vectors of at most so many bytes are sent to all tasks as one matrix.
+BROADCAST_BYTES = 64 << 20
+#: Rows of a block of vectors, otherwise.
+BLOCK_ROWS = 2048
+
+
+def closest(x: np.ndarray, train: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's nearest training row (the first by ``order`` of equals) and the squared distance.
+
+    A matrix product finds what is near; the few that come as close as its rounding are compared by their exact distances."""
+    best, found = np.empty(len(x)), np.empty(len(x), np.int64)
+    own, far = (x * x).sum(1), (train * train).sum(1)
+    for i in range(0, len(x), 256):
+        rough = own[i : i + 256, None] + far - 2 * (x[i : i + 256] @ train.T)
+        near = rough <= rough.min(1, keepdims=True) + 1e-9 * (own[i : i + 256, None] + far.max())
+        row, candidate = np.nonzero(near)
+        exact = ((x[i + row] - train[candidate]) ** 2).sum(1)
+        ranked = np.lexsort((order[candidate], exact, row))
+        first = ranked[np.searchsorted(row[ranked], np.arange(len(rough)))]
+        best[i : i + 256], found[i : i + 256] = exact[first], candidate[first]
+    return found, best
 
 
 def nearest(test: DataFrame, train: DataFrame, key: str, vector: str, order: str, label: str, out: str = "predicted") -> DataFrame:
     """The label of the training row with the smallest squared distance (the first by ``order`` of equals).
 
-    Each test row meets each training row, as the method asks for; training rows come in blocks of a few hundred vectors, so that a
-    task holds one block, and only each block's best is kept: minima combine before the shuffle."""
-    t = train.select(F.col(order).cast("bigint").alias("_o"), F.col(label).alias("_l"), F.col(vector).alias("_v"))
-    blocks = t.groupBy(F.pmod(F.xxhash64("_o"), F.lit(64)).alias("_b")).agg(F.collect_list(F.struct("_o", "_l", "_v")).alias("_t")) if train.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else t.groupBy((F.col("_o") / 256).cast("bigint").alias("_b")).agg(F.collect_list(F.struct("_o", "_l", "_v")).alias("_t"))
-    best = F.array_min(F.transform("_t", lambda r: F.struct(vectors.squared_distance(F.col("_x"), r["_v"]).alias("d"), r["_o"].alias("o"), r["_l"].alias("l"))))
-    rows = test.select(key, F.col(vector).alias("_x")).crossJoin(small(blocks)).select(key, best.alias("_m"))
-    return rows.groupBy(key).agg(F.min("_m").alias("_m")).select(key, F.col("_m.l").alias(out), F.col("_m.d").alias("distance"))
+    Each test row meets each training row, as the method asks for, by matrix products.  Training vectors of up to ``BROADCAST_BYTES`` go to all
+    tasks, and nothing is shuffled.  More of them are dealt into blocks by their hash, as test rows are; blocks meet blocks, and each row's best of
+    a block is kept: minima combine before the shuffle."""
+    spark = test.sparkSession
+    t = train.select(F.col(order).cast("bigint").alias("_o"), F.col(label).alias("_l"), F.col(vector).cast("array<double>").alias("_v"))
+    rows, width = t.agg(F.count("*"), F.max(F.size("_v"))).first()
+    x = test.select(F.col(key).alias("_k"), F.col(vector).cast("array<double>").alias("_x"))
+    kind, label_kind = x.schema["_k"].dataType.simpleString(), t.schema["_l"].dataType.simpleString()
+    schema = f"_k {kind}, d double, o bigint, l {label_kind}"
+    matrix = lambda lists, n: lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+
+    if not rows:
+        return x.select(F.col("_k").alias(key), F.lit(None).cast(label_kind).alias(out), F.lit(None).cast("double").alias("distance"))
+    if rows * width * 8 <= BROADCAST_BYTES:
+        known = t.toArrow().combine_chunks()
+        sent = spark.sparkContext.broadcast((matrix(known["_v"].combine_chunks(), rows), known["_o"].to_numpy(), known["_l"].to_pylist()))
+
+        def run(batches):
+            import pyarrow as pa
+
+            vectors_, orders, labels = sent.value
+            for batch in batches:
+                if batch.num_rows:
+                    at, d = closest(matrix(batch.column(1), batch.num_rows), vectors_, orders)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d), pa.array(orders[at]), pa.array([labels[i] for i in at], known_type)], names=["_k", "d", "o", "l"])
+
+        known_type = known.schema.field("_l").type
+        best = x.mapInArrow(run, schema).select("_k", F.struct("d", "o", "l").alias("_m"))
+    else:
+        dealt = lambda df, c, n: df.groupBy(F.pmod(F.xxhash64(c), F.lit(n))).agg(F.collect_list(F.struct(*df.columns)).alias("_b")).select("_b")
+        tests = dealt(x, "_k", -(-max(1, x.count()) // BLOCK_ROWS)).withColumnRenamed("_b", "_a")
+
+        def meet(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    a, b = (batch.column(c).slice(i, 1).flatten() for c in (0, 1))
+                    at, d = closest(matrix(a.field("_x"), len(a)), matrix(b.field("_v"), len(b)), b.field("_o").to_numpy())
+                    rows_ = pa.array(at)
+                    yield pa.RecordBatch.from_arrays([a.field("_k"), pa.array(d), b.field("_o").take(rows_), b.field("_l").take(rows_)], names=["_k", "d", "o", "l"])
+
+        pairs = tests.crossJoin(dealt(t, "_o", -(-rows // BLOCK_ROWS)))
+        best = pairs.mapInArrow(meet, schema).groupBy("_k").agg(F.min(F.struct("d", "o", "l")).alias("_m"))
+    return best.select(F.col("_k").alias(key), F.col("_m.l").alias(out), F.col("_m.d").alias("distance"))
 
 
 def accuracy(predicted: Column, truth: Column) -> Column:

@@ -22,11 +22,13 @@ def first_within(left: DataFrame, right: DataFrame, key: list[str], x: str, othe
 
     Both sides are put in bands of the tolerance's width and joined by key and band, the right in three: no range join."""
     band = lambda c: F.floor(F.col(c).cast("double") / F.lit(float(tolerance))).cast("bigint")
-    l = left.withColumn("_band", band(x))  # noqa: E741
+    # Equal rows are one while they are matched, and as many as before in the end.
+    l = left.groupBy(*left.columns).agg(F.count("*").cast("int").alias("_copies")).withColumn("_band", band(x))  # noqa: E741
     r = right.select(*key, F.col(other).alias("_x"), F.struct(*order).alias("_order"), F.struct(*columns).alias("_found"), F.explode(F.array(band(other) - 1, band(other), band(other) + 1)).alias("_band"))
     own = left.columns
     near = l.join(r, [*key, "_band"], "left").withColumn("_hit", F.coalesce(F.abs(F.col(x) - F.col("_x")) < tolerance, F.lit(False)))
-    best = near.groupBy(*own).agg(F.min_by(F.when(F.col("_hit"), F.col("_found")), F.when(F.col("_hit"), F.col("_order"))).alias("_f"))
+    best = near.groupBy(*own, "_copies").agg(F.min_by(F.when(F.col("_hit"), F.col("_found")), F.when(F.col("_hit"), F.col("_order"))).alias("_f"))
+    best = best.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return best.select(*own, *(F.col(f"_f.{c}").alias(c if c not in own else f"{c}_found") for c in columns))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.operators import fits, learn
@@ -44,9 +44,10 @@ def baseline(series: DataFrame, runs: DataFrame, grid: str, points: list[float],
         cells = cube.where("split = 'train'").select(F.explode(F.arrays_zip(*use)).alias("c"))
         stats = cells.agg(*(F.avg(f"c.{c}").alias(f"m_{c}") for c in use), *((F.stddev_pop(f"c.{c}") + F.lit(1e-9)).alias(f"d_{c}") for c in use))
         vector = F.concat(*(_scaled(c) for c in use))
-        # One row of statistics; the vectors are used several times, so that they are kept.
-        rows = cube.crossJoin(F.broadcast(stats)).select("run_id", "cls", "split", vector.alias("v")).persist()
-        train = rows.where("split = 'train'").withColumn("o", F.xxhash64("run_id"))
+        # One row of statistics.  Ties go to the first training run: runs are numbered by their ids, in a table of a row for each run.
+        rows = cube.crossJoin(F.broadcast(stats)).select("run_id", "cls", "split", vector.alias("v"))
+        order = good.where("split = 'train'").select("run_id", F.row_number().over(Window.orderBy("run_id")).alias("o"))
+        train = rows.where("split = 'train'").join(order, "run_id")
         found = learn.nearest(rows.where("split = 'test'"), train, "run_id", "v", "o", "cls").join(rows.select("run_id", "cls"), "run_id")
         one = found.agg(F.lit(name).alias("channels"), learn.accuracy(F.col("predicted"), F.col("cls")).alias("accuracy"))
         out = one if out is None else out.unionByName(one)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import vectors
 from tidegrid.functions.nulls import differs, lookup, round_floats, text_or
-from tidegrid.operators import fits, identity, kernels, learn, relational, resample, rulebook, series
+from tidegrid.operators import fits, identity, kernels, lanes, learn, pose, relational, resample, rulebook, series
 from tidegrid.operators.series import FPS
 from tidegrid.sources.schemas import CHANNELS, CORE, SCHEMAS
 
@@ -55,6 +55,39 @@ def kinematics(frames: DataFrame, s: str = "s") -> DataFrame:
     return out.withColumn("t_clock", F.bround((F.col("frame") - F.col("k0")) / FPS, 4)).drop("_s", "_x", "_f")
 
 
+def on_the_ground(frames: DataFrame) -> DataFrame:
+    """The run's direction in the image, the lane under the hip, and the ankles' places in yards.
+
+    ``frames``: kpts (17 structs x, y, conf), near, far, off_far, theta (the lane), s (periods from the start), s_start and w_run; null lanes or places
+    give nulls.  A foot stands for a few frames only, so that ankles are taken as they were seen, not smoothed."""
+    lane = F.col("near"), F.col("far")
+    at = F.col("s") + F.col("s_start")
+    here, ahead = (lanes.lane_point(*lane, s, F.col("w_run"), F.col("off_far"), F.col("theta")) for s in (at, at + 0.25))
+    step = (ahead[0] - here[0], ahead[1] - here[1])
+    size = F.hypot(*step)
+    out = frames.withColumn("forward", F.when(size.isNotNull(), F.struct((step[0] / size).alias("x"), (step[1] / size).alias("y")))).withColumn("ground_y", here[1])
+    for side, joint in zip(("l", "r"), pose.ANKLES, strict=True):
+        foot = pose.masked(F.col("kpts"), joint)
+        place, _ = lanes.across(*lane, (foot["x"], foot["y"]), F.col("off_far"), F.col("theta"))
+        out = out.withColumn(f"ankle_{side}", F.when(F.col("s").isNotNull(), place * YARDS_PER_PERIOD))
+    return out
+
+
+def body(frames: DataFrame, stage=lambda name, df: df) -> DataFrame:
+    """The pose channels and the ankles' places of frames from ``plans.measure.lane_frames``: one shuffle by run and keypoint, then one by run.
+
+    ``stage`` may write a table and read it again."""
+    seen = stage("ground", on_the_ground(frames).drop("near", "far"))
+    points = stage("keypoints", pose.smooth_keypoints(frames.select("run_id", "frame", "kpts"), ["run_id"], "frame", "kpts"))
+    whole = seen.join(points, ["run_id", "frame"]).join(pose.body_scale(points, ["run_id"]), "run_id", "left")
+    return pose.channels(whole).drop(*(f"p{j}" for j in pose.JOINTS), "forward", "ground_y", "leg_len", "arm_len", "kpts")
+
+
+def channels(frames: DataFrame) -> DataFrame:
+    """All channels of each frame of the clip, rounded, with ``valid``."""
+    return finish_channels(strides(kinematics(body(frames))))
+
+
 def strides(frames: DataFrame) -> DataFrame:
     """Foot contact and step channels, from the ankles' places (ankle_l, ankle_r, in yards) and the speed."""
     out = frames

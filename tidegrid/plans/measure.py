@@ -7,6 +7,8 @@ lines, and marks across the lane), and ``runs`` (run_id, k0).  Everything is joi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,13 @@ from tidegrid.functions import geometry as G
 from tidegrid.operators import kernels, lanes
 
 KEY = ["run_id", "k"]
+Stage = Callable[[str, DataFrame], DataFrame]
+
+
+def as_it_is(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 # Keypoint numbers, and the least confidence of one.
 WRISTS, HIPS, LEGS, ANKLES = (9, 10), (11, 12), (13, 14, 15, 16), (15, 16)
 SURE = 0.3
@@ -93,20 +102,28 @@ def starts(rows: DataFrame, runner: DataFrame, marks: DataFrame, runs: DataFrame
 
 
 def measure(frames: DataFrame, bodies: DataFrame, lines: DataFrame, marks: DataFrame, runs: DataFrame, low: float = -50.0, high: float = 500.0) -> tuple[DataFrame, DataFrame]:
-    """Places and crossings.
+    """Places and crossings, as ``measured`` describes them."""
+    places, crossings, _ = measured(frames, bodies, lines, marks, runs, low, high)
+    return places, crossings
+
+
+def measured(frames: DataFrame, bodies: DataFrame, lines: DataFrame, marks: DataFrame, runs: DataFrame, low: float = -50.0, high: float = 500.0, stage: Stage = as_it_is) -> tuple[DataFrame, DataFrame, tuple[DataFrame, DataFrame, DataFrame]]:
+    """Places, crossings, and (the usable rows with their offsets, the runner, the start lines).
 
     Places: run_id, k, s (periods from the start line, null where unknown), on_lane, theta, w_run, start_support and error (what a run's scan failed of).  Crossings: run_id, k and s of
-    each painted line on the far row."""
-    rows = offsets(usable_frames(frames))
+    each painted line on the far row.  ``stage`` may write a table and read it again."""
+    rows = stage("offsets", offsets(usable_frames(frames)))
     runner, rows = follow(bodies, rows, runs, frames)
-    rows = repaired(rows, runner, runs)
-    begin = starts(rows, runner, marks, runs)
+    runner = stage("runner", runner)
+    rows = stage("repaired", repaired(stage("followed", rows), runner, runs))
+    begin = stage("starts", starts(rows, runner, marks, runs))
     far = F.col("far")
     known = rows.where(F.col("off_far").isNotNull()).join(runner, KEY, "left")
-    hits = lanes.line_hits(lines.join(known.select(*KEY, "far"), KEY), KEY, "far", ("x0", "y0", "x1", "y1"))
+    hits = stage("hits", lanes.line_hits(lines.join(known.select(*KEY, "far"), KEY), KEY, "far", ("x0", "y0", "x1", "y1")))
     x = F.coalesce(F.col("hip")["x"], F.lit(lanes.MIDDLE))
     at = known.select(*KEY, lanes.along_row(far, G.at_x(lanes.start_of(far), lanes.direction(far), x)).alias("u_ref"))
     angles = lanes.smooth_angles(frames.select(*KEY).join(lanes.angle_at(hits, KEY, at, "u_ref").select(*KEY, "theta"), KEY, "left"), ["run_id"], "k")
+    angles = stage("angles", angles)
     full = known.join(angles.select(*KEY, F.col("theta_smooth").alias("theta")), KEY).join(begin, "run_id").where(F.col("theta").isNotNull() & F.col("s_start").isNotNull())
     args = F.col("near"), far
     feet = full.select("run_id", "near", "far", "off_far", "theta", F.explode(F.array(*(_at(F.col("kpts"), j) for j in ANKLES))).alias("p")).where(F.col("p.conf") > SURE)
@@ -118,4 +135,13 @@ def measure(frames: DataFrame, bodies: DataFrame, lines: DataFrame, marks: DataF
     errors = rows.groupBy("run_id").agg(F.min("error").alias("error"))
     places = frames.select(*KEY).join(full, KEY, "left").join(errors, "run_id", "left").join(begin.select("run_id", "start_support"), "run_id", "left").withColumn("on_lane", F.coalesce("on_lane", F.lit(False)))
     crossings = hits.join(known.select(*KEY, "far", "off_far"), KEY).join(begin, "run_id").where("s_start IS NOT NULL").select(*KEY, (lanes.number_at(far, F.col("u")) + F.col("off_far") - F.col("s_start")).alias("s"))
-    return places, crossings
+    return places, crossings, (rows, runner, begin)
+
+
+def lane_frames(frames: DataFrame, bodies: DataFrame, lines: DataFrame, marks: DataFrame, runs: DataFrame, stage: Stage = as_it_is) -> tuple[DataFrame, DataFrame]:
+    """What ``plans.build.channels`` takes, a row for each frame of the clips, and the crossings."""
+    places, crossings, (rows, runner, begin) = measured(frames, bodies, lines, marks, runs, stage=stage)
+    places = stage("places", places)
+    seen = places.drop("start_support").join(rows.select(*KEY, "near", "far", "off_far"), KEY, "left").join(runner.select(*KEY, "kpts"), KEY, "left").join(begin, "run_id", "left")
+    out = seen.join(runs.select("run_id", "k0"), "run_id").withColumnRenamed("k", "frame")
+    return out.withColumn("kpts", F.coalesce("kpts", F.array().cast(runner.schema["kpts"].dataType))), crossings

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import geometry as G
 from tidegrid.functions import nulls, vectors
-from tidegrid.operators import fits, identity, kernels, lanes, learn, panel, relational, resample, rulebook, series
+from tidegrid.operators import fits, identity, kernels, lanes, learn, panel, pose, relational, resample, rulebook, series
 from tidegrid.sources import tables as source
 from tidegrid.streaming import detect
 
@@ -433,12 +433,12 @@ def agg16_correlation(spark, sf):
     return e.crossJoin(F.broadcast(one)).select("vec_id", r(vectors.correlation(F.col("embedding"), F.col("ref"))).alias("corr"))
 
 
-@query("""WITH h AS (SELECT vec_id, list_transform(embedding, lambda v: abs(v)::DOUBLE) AS a FROM embeddings), p AS (SELECT vec_id, a, lag(a) OVER (ORDER BY vec_id) AS b FROM h)
-SELECT vec_id, round(sqrt(greatest(0, 1 - list_sum(list_transform(list_zip(a, b), lambda z: sqrt(z[1] * z[2]))) / sqrt(list_sum(a) * list_sum(b)))), 5) AS d FROM p WHERE b IS NOT NULL""")
+@query("""WITH h AS (SELECT vec_id, label, list_transform(embedding, lambda v: abs(v)::DOUBLE) AS a FROM embeddings), p AS (SELECT vec_id, a, lag(a) OVER (PARTITION BY label ORDER BY vec_id) AS b FROM h)
+SELECT vec_id, round(CASE WHEN b IS NOT NULL THEN sqrt(greatest(0, 1 - list_sum(list_transform(list_zip(a, b), lambda z: sqrt(z[1] * z[2]))) / sqrt(list_sum(a) * list_sum(b)))) END, 5) AS d FROM p""")
 def agg17_histogram_distance(spark, sf):
-    h = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: F.abs(v).cast("double")).alias("a"))
-    before = h.select((F.col("vec_id") + 1).alias("vec_id"), F.col("a").alias("b"))
-    return h.join(before, "vec_id").select("vec_id", r(vectors.histogram_distance(F.col("a"), F.col("b")), 5).alias("d"))
+    h = table(spark, sf, "embeddings").select("vec_id", "label", F.transform("embedding", lambda v: F.abs(v).cast("double")).alias("a"))
+    before = F.lag("a").over(Window.partitionBy("label").orderBy("vec_id"))
+    return h.withColumn("b", before).select("vec_id", r(vectors.histogram_distance(F.col("a"), F.col("b")), 5).alias("d"))
 
 
 @query("SELECT vec_id, round(list_sum(list_transform(embedding[11:14] || embedding[19:22], lambda v: v::DOUBLE)), 6) AS turf FROM embeddings")
@@ -489,9 +489,9 @@ def agg28_orientation_vote(spark, sf):
     return lanes.lane_angle(m, KEY, "theta").withColumn("lane_theta", r("lane_theta"))
 
 
-@query("SELECT key, count(*) AS n FROM (SELECT l_shipmode AS key FROM (SELECT l_returnflag AS l_shipmode FROM lineitem)) GROUP BY 1", "set3_distinct_counts")
+@query("SELECT DISTINCT l_returnflag, l_linenumber FROM lineitem", "set3_distinct_counts")
 def set3_distinct_counts(spark, sf):
-    return table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("key")).agg(F.count("*").alias("n"))
+    return table(spark, sf, "lineitem", "l_returnflag", "l_linenumber").distinct()
 
 
 @query("SELECT l_suppkey FROM lineitem INTERSECT SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000")
@@ -580,14 +580,15 @@ def win27_fill_both_ways(spark, sf):
     return series.gap_fill(numbered(spark, sf), KEY, "i", "gappy", None, "hold").select("event_id", r("filled").alias("filled"))
 
 
-def savgol_sql(width: int, degree: int, deriv: int, value: str = "gappy", rate: float = 1.0) -> str:
+def savgol_sql(width: int, degree: int, deriv: int, value: str = "gappy", rate: float = 1.0, before: str = EVENTS, source: str = "e", places: int = 6) -> str:
+    """The smoothed ``value`` of ``source`` (event_id, user_id, i), which the tables in ``before`` define."""
     half = width // 2
     matrix = "[" + ", ".join("[" + ", ".join(f"{c!r}::DOUBLE" for c in map(float, row)) + "]" for row in series.savgol_coefficients(width, degree, deriv, rate)) + "]"
     short = "v" if deriv == 0 else "NULL"
-    return f"""WITH {EVENTS}, a AS (SELECT event_id, user_id, i, {value} AS v, i - count({value}) OVER (PARTITION BY user_id ORDER BY i) AS s FROM e),
-b AS (SELECT event_id, v, count(*) OVER (PARTITION BY user_id, s) AS n, row_number() OVER w - 1 AS p, list(v) OVER (PARTITION BY user_id, s ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l FROM a WHERE v IS NOT NULL WINDOW w AS (PARTITION BY user_id, s ORDER BY i)),
-c AS (SELECT *, greatest({half}, least(p, n - 1 - {half})) AS c FROM b)
-SELECT e.event_id, round(CASE WHEN n >= {width} THEN list_sum(list_transform(list_zip(l[c - {half} + 1:c + {half} + 1], ({matrix})[p - c + {half} + 1]), lambda z: z[1] * z[2])) ELSE {short} END, 6) AS smooth FROM e LEFT JOIN c ON e.event_id = c.event_id"""
+    return f"""WITH {before}, sa AS (SELECT event_id, user_id, i, {value} AS v, i - count({value}) OVER (PARTITION BY user_id ORDER BY i) AS s FROM {source}),
+sb AS (SELECT event_id, v, count(*) OVER (PARTITION BY user_id, s) AS n, row_number() OVER w - 1 AS p, list(v) OVER (PARTITION BY user_id, s ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l FROM sa WHERE v IS NOT NULL WINDOW w AS (PARTITION BY user_id, s ORDER BY i)),
+sc AS (SELECT *, greatest({half}, least(p, n - 1 - {half})) AS c FROM sb)
+SELECT e.event_id, round(CASE WHEN n >= {width} THEN list_sum(list_transform(list_zip(l[c - {half} + 1:c + {half} + 1], ({matrix})[p - c + {half} + 1]), lambda z: z[1] * z[2])) ELSE {short} END, {places}) AS smooth FROM {source} e LEFT JOIN sc ON e.event_id = sc.event_id"""
 
 
 def _savgol(width: int, degree: int, deriv: int):
@@ -601,7 +602,14 @@ for _w, _d, _k in ((7, 2, 0), (9, 2, 0), (5, 3, 1), (7, 3, 2)):
     query(savgol_sql(_w, _d, _k), f"win13_savgol_{_w}_{_d}_{_k}")(_savgol(_w, _d, _k))
 
 
-@query()
+HELD = """h AS (SELECT event_id, user_id, i, gappy, CASE WHEN count(gappy) OVER (PARTITION BY user_id) < 2 THEN gappy WHEN gappy IS NOT NULL THEN gappy WHEN i0 IS NULL THEN v1 WHEN i1 IS NULL THEN v0 ELSE v0 + (v1 - v0) / (i1 - i0) * (i - i0) END AS f FROM b),
+md AS (SELECT event_id, user_id, i, gappy, CASE WHEN f IS NOT NULL THEN median(f) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) END AS m FROM h)"""
+ROBUST = f"""WITH x AS ({savgol_sql(15, 2, 0, "m", before=f"{EVENTS}, {FILL}, {HELD}", source="md", places=9)}), {EVENTS},
+y AS (SELECT e.event_id, gappy, smooth, i, min(CASE WHEN gappy IS NOT NULL THEN i END) OVER u AS lo, max(CASE WHEN gappy IS NOT NULL THEN i END) OVER u AS hi, count(gappy) OVER u AS n FROM e JOIN x ON e.event_id = x.event_id WINDOW u AS (PARTITION BY user_id))
+SELECT event_id, round(CASE WHEN n < 3 THEN gappy WHEN i BETWEEN lo - 15 AND hi + 15 THEN smooth END, 6) AS {{name}} FROM y"""
+
+
+@query(ROBUST.format(name="robust"))
 def win14_robust_smooth(spark, sf):
     return series.robust_smooth(numbered(spark, sf), KEY, "i", "gappy").select("event_id", r("robust").alias("robust"))
 
@@ -681,12 +689,12 @@ def rsh1_pivot(spark, sf):
     return learn.pivot_grid(s, "o_orderstatus", "o_orderpriority", "v", ["1-URGENT", "2-HIGH", "5-LOW"])
 
 
-@query(f"""WITH {EVENTS}, g AS (SELECT DISTINCT e.user_id, r.i + 1 AS i FROM e, range(10) r(i)), x AS (SELECT g.user_id, g.i, e.gappy FROM g LEFT JOIN e ON g.user_id = e.user_id AND g.i = e.i),
+@query(f"""WITH {EVENTS}, g AS (SELECT DISTINCT e.user_id, r.i + 1 AS i FROM e, range(100) r(i)), x AS (SELECT g.user_id, g.i, e.gappy FROM g LEFT JOIN e ON g.user_id = e.user_id AND g.i = e.i),
 {FILL.replace("FROM e)", "FROM x)")} SELECT user_id, CAST(i - 1 AS INTEGER) AS p, round(CASE WHEN count(gappy) OVER (PARTITION BY user_id) <= 1 THEN 0.0 WHEN i0 IS NULL THEN v1 WHEN i1 IS NULL THEN v0 WHEN i0 = i1 THEN v0 ELSE v0 + (v1 - v0) / (i1 - i0) * (i - i0) END, 6) AS v FROM b""")
 def rsh3_tensor(spark, sf):
     e = numbered(spark, sf).withColumn("g", F.col("i").cast("double"))
     every = e.select("user_id").distinct()
-    out = learn.tensor(e.select("user_id", "g", "gappy").unionByName(every.select("user_id", F.lit(None).cast("double").alias("g"), F.lit(None).cast("double").alias("gappy"))), "user_id", "g", ["gappy"], [float(x) for x in range(1, 11)])
+    out = learn.tensor(e.select("user_id", "g", "gappy").unionByName(every.select("user_id", F.lit(None).cast("double").alias("g"), F.lit(None).cast("double").alias("gappy"))), "user_id", "g", ["gappy"], [float(x) for x in range(1, 101)])
     return out.select("user_id", F.posexplode("gappy").alias("p", "v")).withColumn("v", r("v"))
 
 
@@ -702,7 +710,7 @@ def ml2_logistic(spark, sf):
 @query()
 def ml3_leader_clusters(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("unit", vectors.unit(F.col("embedding")))
-    return kernels.leader_clusters(e, ["label"], "vec_id", "unit", 0.5).select("label", "vec_id", "cluster", "leader")
+    return kernels.sound(kernels.leader_clusters(e, ["label"], "vec_id", "unit", 0.5)).select("label", "vec_id", "cluster", "leader")
 
 
 @query(f"""WITH {EVENTS}, m AS (SELECT user_id, sum(i) AS sx, sum(i * i) AS sxx, count(*)::DOUBLE AS n, sum((2.0 * i + 3) / (0.01 * i + 1)) AS sy FROM e GROUP BY 1)
@@ -838,7 +846,7 @@ def geo10_lateral_position(spark, sf):
     return lanes.lateral_position(events(spark, sf), KEY, "gappy").withColumn("w_run", r("w_run", 5))
 
 
-@query()
+@query(ROBUST.format(name="theta_smooth"))
 def geo14_smooth_angles(spark, sf):
     return lanes.smooth_angles(numbered(spark, sf), KEY, "i", "gappy").select("event_id", r("theta_smooth").alias("theta_smooth"))
 
@@ -848,14 +856,127 @@ def geo15_win28_ml4_index_rows(spark, sf):
     e = numbered(spark, sf)
     place = lambda u, y: (F.col("i") * 40.0 / (1 + 0.002 * F.col("i")) + u, F.lit(y) + F.col("i") * 0.5)
     rows = [e.select("user_id", place(u, y)[0].alias("x"), place(u, y)[1].alias("y"), F.lit(1.0).alias("theta"), F.lit(12.0).alias("length")) for u, y in ((0.0, 400.0), (15.0, 520.0))]
-    return kernels.index_rows(rows[0].unionByName(rows[1]), KEY).select("user_id", "place", "marks", r("dx", 4).alias("dx"), r("resid", 3).alias("resid"))
+    return kernels.sound(kernels.index_rows(rows[0].unionByName(rows[1]), KEY)).select("user_id", "place", "marks", r("dx", 4).alias("dx"), r("resid", 3).alias("resid"))
 
 
 @query()
 def win21_track(spark, sf):
     e = numbered(spark, sf)
     one = lambda n, x, inside: e.select("user_id", F.col("i").cast("int").alias("frame"), F.lit(n).alias("number"), (x + F.col("i") * 3.0).alias("hx"), F.lit(300.0).alias("hy"), (x + F.col("i") * 3.0 + 5).alias("sx"), F.lit(240.0).alias("sy"), F.lit(True).alias("sure"), (x + F.col("i") * 3.0 - 30).alias("x0"), F.lit(200.0).alias("y0"), (x + F.col("i") * 3.0 + 30).alias("x1"), F.lit(400.0).alias("y1"), F.lit(False).alias("off"), F.lit(inside).alias("inside"), F.lit(10.0).alias("k0"), F.lit(90).alias("last"))
-    return kernels.track_bodies(one(0, F.lit(500.0), 0).unionByName(one(1, F.lit(100.0), 4)), KEY).select("user_id", "frame", "number")
+    return kernels.sound(kernels.track_bodies(one(0, F.lit(500.0), 0).unionByName(one(1, F.lit(100.0), 4)), KEY)).select("user_id", "frame", "number")
+
+
+# ---- body channels: keypoints whose coordinates are made of an event's value, some of them missing
+
+_X, _Y = "500 + 3 * i + (value * {a}) % 53", "300 + 12 * {j} + (value * {b}) % 31"
+_MISSING = {9: "error", 6: "view", 15: "click"}
+
+
+def _keypoint_sql(j: int) -> str:
+    x, y = _X.format(a=7 * j + 3), _Y.format(j=j, b=5 * j + 1)
+    there = f"CASE WHEN event_type <> '{_MISSING[j]}' THEN {{}} END" if j in _MISSING else "{}"
+    return f"{there.format(x)} AS x{j}, {there.format(y)} AS y{j}"
+
+
+BODY = f"""p AS (SELECT event_id, user_id, i, {", ".join(map(_keypoint_sql, pose.JOINTS))}, cos(value / 50) AS fx, sin(value / 50) AS fy, 520 + value / 10 AS ground,
+  CASE WHEN event_type <> 'click' THEN value END AS al, (value * 3) % 100 AS ar FROM e),
+q AS (SELECT *, (x5 + x6) / 2 AS sx, (y5 + y6) / 2 AS sy, (x11 + x12) / 2 AS hx, (y11 + y12) / 2 AS hy, coalesce(al >= ar, false) AS lead FROM p),
+o AS (SELECT *, {", ".join(f"CASE WHEN lead THEN {c}{a} ELSE {c}{b} END AS {c}l{n}, CASE WHEN lead THEN {c}{b} ELSE {c}{a} END AS {c}t{n}" for n, (a, b) in (("h", pose.HIPS), ("k", pose.KNEES), ("a", pose.ANKLES)) for c in "xy")} FROM q)"""
+
+
+def body_frames(spark: SparkSession, sf: str) -> DataFrame:
+    def keypoint(j: int) -> Column:
+        p = F.struct(F.expr(_X.format(a=f"{7 * j + 3}D")).alias("x"), F.expr(_Y.format(j=j, b=f"{5 * j + 1}D")).alias("y"))
+        return (F.when(F.col("event_type") != _MISSING[j], p) if j in _MISSING else p).alias(f"p{j}")
+
+    e = numbered(spark, sf)
+    return e.select(
+        "event_id", "user_id", "i", *map(keypoint, pose.JOINTS), F.struct(F.cos(F.col("value") / 50).alias("x"), F.sin(F.col("value") / 50).alias("y")).alias("forward"), (520 + F.col("value") / 10).alias("ground_y"),
+        F.when(F.col("event_type") != "click", F.col("value")).alias("ankle_l"), (F.col("value") * 3 % 100).alias("ankle_r"), F.lit(80.0).alias("leg_len"), F.lit(50.0).alias("arm_len"),
+    )
+
+
+def _angle_sql(a: tuple[str, str], b: tuple[str, str], c: tuple[str, str]) -> str:
+    ux, uy, vx, vy = f"({a[0]} - {b[0]})", f"({a[1]} - {b[1]})", f"({c[0]} - {b[0]})", f"({c[1]} - {b[1]})"
+    return f"CASE WHEN {ux} + {uy} + {vx} + {vy} IS NOT NULL THEN degrees(acos(greatest(-1.0, least(1.0, ({ux} * {vx} + {uy} * {vy}) / (sqrt({ux} * {ux} + {uy} * {uy}) * sqrt({vx} * {vx} + {vy} * {vy}) + 1e-9))))) END"
+
+
+def _lean_sql(top: tuple[str, str], bottom: tuple[str, str]) -> str:
+    vx, vy = f"({top[0]} - {bottom[0]})", f"({top[1]} - {bottom[1]})"
+    return f"CASE WHEN {vx} * fx + {vy} * fy < 0 THEN -1 ELSE 1 END * degrees(atan2(abs({vx}), -{vy}))"
+
+
+def _at(n: str | int) -> tuple[str, str]:
+    return f"x{n}", f"y{n}"
+
+
+_S, _H = ("sx", "sy"), ("hx", "hy")
+_ELBOW = [_angle_sql(*(_at(x[side]) for x in (pose.SHOULDERS, pose.ELBOWS, pose.WRISTS))) for side in (0, 1)]
+_REACH = [f"((x{w} - x{s}) * fx + (y{w} - y{s}) * fy) / 50.0" for w, s in zip(pose.WRISTS, pose.SHOULDERS, strict=True)]
+CHANNEL_SQL = {
+    "trunk_angle": _lean_sql(_S, _H), "hip_height_ratio": "(ground - hy) / 80.0",
+    "knee_lead": _angle_sql(_at("lh"), _at("lk"), _at("la")), "knee_trail": _angle_sql(_at("th"), _at("tk"), _at("ta")),
+    "hip_flex_lead": _angle_sql(_S, _at("lh"), _at("lk")), "hip_flex_trail": _angle_sql(_S, _at("th"), _at("tk")),
+    "shin_angle_lead": _lean_sql(_at("lk"), _at("la")), "thigh_sep": _angle_sql(_at("lk"), _H, _at("tk")),
+    "elbow_angle": f"coalesce(({_ELBOW[0]} + {_ELBOW[1]}) / 2, {_ELBOW[0]}, {_ELBOW[1]})", "arm_swing": f"greatest({_REACH[0]}, {_REACH[1]}) - least({_REACH[0]}, {_REACH[1]})",
+}
+
+
+def _channel(*names: str):
+    return lambda spark, sf: pose.channels(body_frames(spark, sf)).select("event_id", *(r(n, 5).alias(n) for n in names))
+
+
+for _n in (("trunk_angle",), ("hip_height_ratio",), ("knee_lead", "knee_trail"), ("hip_flex_lead", "hip_flex_trail"), ("shin_angle_lead",), ("thigh_sep",), ("elbow_angle",), ("arm_swing",)):
+    query(f"WITH {EVENTS}, {BODY} SELECT event_id, " + ", ".join(f"round({CHANNEL_SQL[c]}, 5) AS {c}" for c in _n) + " FROM o", "ch_" + "_".join(_n))(_channel(*_n))
+
+
+@query(f"WITH {EVENTS}, {BODY} SELECT event_id, lead AS left_leads FROM o")
+def ch_lead_leg(spark, sf):
+    return body_frames(spark, sf).select("event_id", pose.lead_left(F.col("ankle_l"), F.col("ankle_r")).alias("left_leads"))
+
+
+@query(f"""WITH {EVENTS}, {BODY}, s AS (SELECT user_id, unnest([sqrt((x11 - x13) ** 2 + (y11 - y13) ** 2), sqrt((x12 - x14) ** 2 + (y12 - y14) ** 2)]) AS thigh, unnest([sqrt((x13 - x15) ** 2 + (y13 - y15) ** 2), sqrt((x14 - x16) ** 2 + (y14 - y16) ** 2)]) AS shank FROM p),
+a AS (SELECT user_id, median(sqrt((x5 - x7) ** 2 + (y5 - y7) ** 2) + sqrt((x7 - x9) ** 2 + (y7 - y9) ** 2)) AS arm FROM p GROUP BY 1)
+SELECT s.user_id, round(median(thigh) + median(shank), 5) AS leg_len, round(any_value(arm), 5) AS arm_len FROM s JOIN a ON s.user_id = a.user_id GROUP BY 1""")
+def fn_run_scale(spark, sf):
+    return pose.body_scale(body_frames(spark, sf), KEY).select("user_id", r("leg_len", 5).alias("leg_len"), r("arm_len", 5).alias("arm_len"))
+
+
+SHORT_FILL = "f AS (SELECT event_id, user_id, i, CASE WHEN count(gappy) OVER (PARTITION BY user_id) < 2 THEN gappy WHEN gappy IS NOT NULL THEN gappy WHEN i0 IS NOT NULL AND i1 IS NOT NULL AND i1 - i0 - 1 <= 4 THEN v0 + (v1 - v0) / (i1 - i0) * (i - i0) END AS f FROM b)"
+
+
+@query(savgol_sql(7, 2, 0, "f", before=EVENTS.replace("CASE WHEN event_type = 'error' THEN NULL ELSE value END AS gappy", "CASE WHEN value / 100 >= 0.3 THEN value * 2 END AS gappy") + f", {FILL}, {SHORT_FILL}", source="f"))
+def flt8_smooth_keypoints(spark, sf):
+    e = numbered(spark, sf)
+    point = F.struct((F.col("value") * 2).alias("x"), F.col("value").alias("y"), (F.col("value") / 100).alias("conf"))
+    points = pose.smooth_keypoints(e.withColumn("kpts", F.array_repeat(point, 17)), ["user_id"], "i", "kpts")
+    return e.join(points, ["user_id", "i"]).select("event_id", r(F.col("p9")["x"]).alias("smooth"))
+
+
+PLACES = EVENTS.replace("CASE WHEN event_type = 'error' THEN NULL ELSE value END AS gappy", "CASE WHEN event_type <> 'error' THEN (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) * 0.02::DOUBLE + value / 5000) * (1.8::DOUBLE / 0.9144) END AS gappy")
+
+
+def _kinematics(name: str):
+    def run(spark, sf):
+        from tidegrid.plans import build
+
+        s = F.when(F.col("event_type") != "error", F.col("i") * 0.02 + F.col("value") / 5000)
+        frames = numbered(spark, sf).select("event_id", F.col("user_id").alias("run_id"), F.col("i").alias("frame"), s.alias("s"), F.lit(3.25).alias("k0"))
+        return build.kinematics(frames).select("event_id", r(name, 5).alias("smooth"))
+
+    return run
+
+
+for _n, _w, _d, _k in (("x_yd", 9, 2, 0), ("v_yds", 15, 3, 1), ("a_yds2", 21, 3, 2)):
+    query(savgol_sql(_w, _d, _k, "f", series.FPS, f"{PLACES}, {FILL}, {SHORT_FILL}", "f", 5), f"ch_{_n}")(_kinematics(_n))
+
+
+@query(f"WITH {EVENTS}, {BODY} SELECT event_id, round_even({CHANNEL_SQL['trunk_angle']}, 3) AS trunk_angle, CAST(({CHANNEL_SQL['trunk_angle']}) IS NOT NULL AND al IS NOT NULL AS INTEGER) AS valid FROM o")
+def ch_valid(spark, sf):
+    from tidegrid.plans import build
+
+    found = pose.channels(body_frames(spark, sf)).withColumn("x_yd", F.col("ankle_l"))
+    return build.finish_channels(found).select("event_id", "trunk_angle", "valid")
 
 
 # ---- readings of a display, registries and windows that the queries above leave out
@@ -896,7 +1017,7 @@ def pnl6_jon14_label_prototypes(spark, sf):
 @query()
 def pnl5_largest_clusters(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("unit", vectors.unit(F.col("embedding"))).withColumn("all", F.lit(0))
-    found = kernels.leader_clusters(e, ["all"], "vec_id", "unit", 0.3)
+    found = kernels.sound(kernels.leader_clusters(e, ["all"], "vec_id", "unit", 0.3))
     return panel.largest_clusters(found, e, "vec_id", "unit", 96).select("number", "cluster", "n")
 
 
@@ -947,10 +1068,12 @@ def rsh1_pivot_phase(spark, sf):
     return learn.pivot_grid(long, "user_id", "phase", "value", [f"p{k}" for k in range(11)])
 
 
-@query(f"""WITH {EVENTS}, k AS (SELECT DISTINCT CAST(i % 5 AS BIGINT) AS cls, i FROM e) SELECT cls, count(*) AS runs FROM k GROUP BY cls""")
+@query(f"""WITH {EVENTS}, top AS (SELECT user_id FROM e GROUP BY user_id HAVING max(gappy) > 99)
+SELECT event_type, count(*) AS n FROM e WHERE user_id IN (SELECT user_id FROM top) GROUP BY 1""")
 def flt3_computed_set(spark, sf):
-    e = numbered(spark, sf).select((F.col("i") % 5).alias("cls"), "i").distinct()
-    return e.join(e.select("i").distinct(), "i", "left_semi").groupBy("cls").agg(F.count("*").alias("runs"))
+    e = events(spark, sf)
+    top = e.groupBy("user_id").agg(F.max("gappy").alias("m")).where("m > 99")
+    return source.present(e, top, "user_id").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 # ---- kernels, streaming
@@ -960,25 +1083,35 @@ def flt3_computed_set(spark, sf):
 def win4_streaks(spark, sf):
     e = numbered(spark, sf).withColumn("clock", F.pmod(F.col("i"), F.lit(9)) * 0.25).withColumn("s", F.col("i") * 0.25)
     held = e.withColumn("clock", F.when(F.pmod(F.col("i"), F.lit(9)) >= 6, F.lit(1.5)).otherwise(F.col("clock")))
-    return kernels.find_streaks(held, KEY, "s", "clock").where("error IS NULL").select("user_id", "first", "last", "t_origin", "final")
+    return kernels.sound(kernels.find_streaks(held, KEY, "s", "clock")).select("user_id", "first", "last", "t_origin", "final")
 
 
-@query()
+@query(f"""WITH RECURSIVE {EVENTS}, t AS (SELECT user_id, i, CAST(i AS INTEGER) AS frame, row_number() OVER (PARTITION BY user_id ORDER BY i) - 1 AS k, CASE WHEN event_type <> 'view' THEN 1 ELSE 0 END AS contact, i * 0.25::DOUBLE AS place, value / 10 AS speed FROM e),
+st AS (SELECT user_id, min(place) AS stance FROM t WHERE k BETWEEN 0 AND 3 GROUP BY 1),
+c AS (SELECT t.*, stance, row_number() OVER (PARTITION BY t.user_id ORDER BY k) AS n FROM t JOIN st ON t.user_id = st.user_id WHERE contact = 1 AND k >= 4),
+w(user_id, n, frame, place, landed) AS (SELECT user_id, n - 1, frame, CAST(NULL AS DOUBLE), false FROM c WHERE n = 1
+  UNION ALL SELECT user_id, n, frame, CASE WHEN hit THEN place ELSE wp END, hit FROM
+    (SELECT c.*, w.place AS wp, CASE WHEN w.place IS NULL THEN c.place - stance >= 0.6 ELSE c.place - w.place >= greatest(0.6, 0.12 * speed) END AS hit FROM w JOIN c ON c.user_id = w.user_id AND c.n = w.n + 1))
+SELECT user_id, frame, place FROM w WHERE landed""")
 def win17_touchdowns(spark, sf):
     e = numbered(spark, sf).withColumn("contact", (F.col("event_type") != "view").cast("double")).withColumn("place", F.col("i") * 0.25).withColumn("speed", F.col("value") / 10).withColumn("k0", F.lit(3.5))
-    return kernels.find_touchdowns(e, KEY, "i", "contact", "place", "speed", "k0").select("user_id", "frame", "place")
+    return kernels.sound(kernels.find_touchdowns(e, KEY, "i", "contact", "place", "speed", "k0")).select("user_id", "frame", "place")
 
 
-@query()
+@query(f"""WITH RECURSIVE {EVENTS}, u AS (SELECT user_id, i, CAST(i AS INTEGER) AS frame, (i * 0.3::DOUBLE) % 1.0 AS raw FROM e),
+w(user_id, i, frame, raw, off, speed) AS (SELECT user_id, i, frame, raw, 0.0::DOUBLE, 0.0::DOUBLE FROM u WHERE i = 1
+  UNION ALL SELECT user_id, i, frame, raw, off, 0.5 * speed + 0.5 * (raw + off - before) FROM
+    (SELECT u.user_id, u.i, u.frame, u.raw, w.raw + w.off AS before, w.speed, round_even(w.raw + w.off + w.speed - u.raw, 0) AS off FROM w JOIN u ON u.user_id = w.user_id AND u.i = w.i + 1))
+SELECT user_id, frame, off AS "offset" FROM w""")
 def win19_unwrap(spark, sf):
     e = numbered(spark, sf).withColumn("raw", F.pmod(F.col("i") * 0.3, F.lit(1.0)))
-    return kernels.unwrap_offsets(e, KEY, "i", "raw").select("user_id", "frame", "offset")
+    return kernels.sound(kernels.unwrap_offsets(e, KEY, "i", "raw")).select("user_id", "frame", "offset")
 
 
 @query()
 def win20_repair_slips(spark, sf):
     e = numbered(spark, sf).withColumn("offset", F.when(F.col("i") > 20, 1.0).otherwise(0.0)).withColumn("below", F.when(F.col("event_type") != "error", F.col("i") * 0.1)).withColumn("ref", F.lit(5))
-    return kernels.repair_offsets(e, KEY, "i", "offset", "below", "ref").select("user_id", "frame", "offset")
+    return kernels.sound(kernels.repair_offsets(e, KEY, "i", "offset", "below", "ref")).select("user_id", "frame", "offset")
 
 
 @query(f"""WITH {EVENTS}, d AS (SELECT user_id, ts, coalesce(CAST(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 1 HOUR AS INTEGER), 0) AS n FROM events),

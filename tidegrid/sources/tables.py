@@ -33,6 +33,16 @@ def read_table(spark: SparkSession, path: str, name: str | None = None, columns:
     return nan_to_null(df.select(*columns) if columns else df)
 
 
+def read_any(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The table ``name`` of a folder, Parquet or else CSV with the schema of that name."""
+    try:
+        return read_table(spark, f"{folder}/{name}.parquet")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return read_table(spark, f"{folder}/{name}.csv", name)
+
+
 def write_table(df: DataFrame, path: str, partition: list[str] | None = None, single: bool = False) -> None:
     """To the format of the path's ending.  ``single`` puts a small table in one file."""
     ending = path.rstrip("/").rpartition(".")[2].lower()
