@@ -1,7 +1,7 @@
 """N-gram Jaccard join: rare-first prefix filtering, verified once per pair.
 
-A document is the set of its word n-grams.  Documents with equal sets are one class (a 128-bit fingerprint), so that
-copies are never paired.  N-grams are ordered rare first by a table of counts over all documents: ``BUCKETS`` counters
+A document is the set of its word n-grams.  Documents with equal sets are one class, so that copies are never paired.  In what is
+shuffled a class goes by 64 bits of its fingerprint, and equal sets by all 128.  N-grams are ordered rare first by a table of counts over all documents: ``BUCKETS`` counters
 indexed by the n-gram's hash, which has a fixed size, is added up in a tree and is all that is broadcast by default.  The order
 only has to be the same everywhere for the result to be exact; collisions make it less selective.
 A class sends its prefix, of size - ceil(threshold * size) + 1 n-grams; two sets that are similar enough share one of them.
@@ -80,19 +80,11 @@ def fingerprints(keys: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.n
     return size, one.view(np.int64), two.view(np.int64), np.minimum(bins, 65535).astype(np.uint16).reshape(n_texts, BINS)
 
 
-def classes_of(one: np.ndarray, two: np.ndarray):
-    """A class's name: the 16 bytes of both sums."""
-    import pyarrow as pa
-
-    both = np.column_stack((one, two)).astype(">i8")
-    return pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(np.arange(0, 16 * len(one) + 1, 16, dtype=np.int32)), pa.py_buffer(both.tobytes())])
-
-
 def slot(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(16)).astype(np.int64) & (BUCKETS - 1)
 
 
-A_SCHEMA = "_id bigint, _th bigint, size bigint, c binary, bins binary, block int, salt int, payload binary"
+A_SCHEMA = "_id bigint, _th bigint, size bigint, c bigint, c2 bigint, bins binary, block int, salt int, payload binary"
 
 
 def survey(n: int):
@@ -114,12 +106,12 @@ def survey(n: int):
             if parts:
                 size, one, two, bins = (np.concatenate(x) for x in zip(*parts, strict=True))
                 none = pa.nulls(batch.num_rows, pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size.astype(np.int64)), classes_of(one, two), pa.array([x.tobytes() for x in bins], pa.binary()), none, none, pa.nulls(batch.num_rows, pa.binary())], names=["_id", "_th", "size", "c", "bins", "block", "salt", "payload"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size.astype(np.int64)), pa.array(one), pa.array(two), pa.array([x.tobytes() for x in bins], pa.binary()), none, none, pa.nulls(batch.num_rows, pa.binary())], names=["_id", "_th", "size", "c", "c2", "bins", "block", "salt", "payload"])
         if seen:
             salt = (TaskContext.get().partitionId() if TaskContext.get() else 0) % 64
             blocks = runtime.pack(counts)
-            none, empty = pa.nulls(len(blocks), pa.int64()), pa.nulls(len(blocks), pa.binary())
-            yield pa.RecordBatch.from_arrays([none, none, none, empty, empty, pa.array([b for b, _ in blocks], pa.int32()), pa.array([salt] * len(blocks), pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["_id", "_th", "size", "c", "bins", "block", "salt", "payload"])
+            none = pa.nulls(len(blocks), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, none, pa.nulls(len(blocks), pa.binary()), pa.array([b for b, _ in blocks], pa.int32()), pa.array([salt] * len(blocks), pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["_id", "_th", "size", "c", "c2", "bins", "block", "salt", "payload"])
 
     return run
 
@@ -135,14 +127,14 @@ def prefixes(n: int, threshold: Fraction, counts):
             data, offsets = textcore.column_bytes(batch.column(0))
             for i, j in textcore.chunks(offsets):
                 keys, text = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
-                size, one, two, _ = fingerprints(keys, text, j - i)
+                size, one, _, _ = fingerprints(keys, text, j - i)
                 order = np.lexsort((keys, table[slot(keys)], text))
                 keys, text = keys[order], text[order]
                 position = np.arange(len(keys)) - np.searchsorted(text, text)
                 length = size - -(-threshold.numerator * size // threshold.denominator) + 1
                 some = position < length[text]
                 at = text[some]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), classes_of(one[at], two[at]), pa.array(size[at].astype(np.int32)), pa.array(position[some].astype(np.int32))], names=["gram", "c", "size", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(one[at]), pa.array(size[at].astype(np.int32)), pa.array(position[some].astype(np.int32))], names=["gram", "c", "size", "at"])
 
     return run
 
@@ -209,7 +201,7 @@ def verify(n: int, threshold: Fraction):
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: Fraction | float = Fraction(4, 5)) -> tuple[DataFrame, DataFrame]:
     """Membership and links.
 
-    Membership has a row for each document: its id, _th (a hash of its text), n_shingles, class (16 bytes, the same for equal sets)
+    Membership has a row for each document: its id, _th (a hash of its text), n_shingles, class (a number for equal sets)
     and component_id (the smallest id that links reach, its own included).  Links are pairs (a, b) of classes
     whose sets are at least ``threshold`` similar; within what links already connect, not all pairs are listed.
     """
@@ -218,10 +210,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LEAST)).alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")).withColumn("_th", F.xxhash64("_text"))
     found = runtime.settle(rows.select("_id", "_th", "_text").mapInArrow(survey(n), A_SCHEMA))
     counts = spark.sparkContext.broadcast(runtime.add_arrays(found.where("block IS NOT NULL").select("block", "salt", "payload"), BUCKETS, "int64"))
-    own = found.where("block IS NULL").select("_id", "_th", "size", "c", "bins")
+    own = found.where("block IS NULL").select("_id", "_th", "size", "c", "c2", "bins")
     classes = own.where("size > 0").groupBy("c").agg(F.min(F.struct("_id", "_th", "size", "bins")).alias("r")).select("c", "r._id", "r._th", "r.size", "r.bins")
 
-    prefix = rows.select("_text").mapInArrow(prefixes(n, threshold, counts), "gram bigint, c binary, size int, at int")
+    prefix = rows.select("_text").mapInArrow(prefixes(n, threshold, counts), "gram bigint, c bigint, size int, at int")
     # A count alone travels first; what is known of a group's members is gathered once n-grams that occur in one place are gone.
     # Both tables are written out, so that joins come straight from a shuffle: only then can a hot n-gram's rows be split among tasks.
     often = runtime.settle(prefix.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
@@ -233,13 +225,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         """Those of the pairs (a, b) that are similar enough."""
         sides = [classes.select(F.col("c").alias(x), *(F.col(k).alias(f"{x}_{k.lstrip('_')}") for k in ("_id", "_th", "size", "bins"))) for x in ("a", "b")]
         pairs = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "a_id", "a_th", "b_id", "b_th", "a_size", "b_size", "a_bins", "b_bins")
-        pairs = runtime.settle(pairs.mapInArrow(suffix_filter(threshold), "a binary, b binary, a_id bigint, a_th bigint, b_id bigint, b_th bigint"))
+        pairs = runtime.settle(pairs.mapInArrow(suffix_filter(threshold), "a bigint, b bigint, a_id bigint, a_th bigint, b_id bigint, b_th bigint"))
         wanted = runtime.settle(pairs.select(F.explode(F.array(F.struct(F.col("a_id").alias("_id"), F.col("a_th").alias("_th")), F.struct(F.col("b_id").alias("_id"), F.col("b_th").alias("_th")))).alias("w")).select("w.*").distinct())
         small = wanted.count() <= BROADCAST_IDS
         texts = rows.join(F.broadcast(wanted) if small else wanted.hint("merge"), ["_id", "_th"]).select("_id", "_th", "_text")
         side = lambda x: texts.select(F.col("_id").alias(f"{x}_id"), F.col("_th").alias(f"{x}_th"), F.col("_text").alias(f"{x}_text"))
         whole = pairs.join(side("a").hint("merge"), ["a_id", "a_th"]).join(side("b").hint("merge"), ["b_id", "b_th"]).select("a", "b", "a_text", "b_text")
-        return whole.mapInArrow(verify(n, threshold), "a binary, b binary").distinct()
+        return whole.mapInArrow(verify(n, threshold), "a bigint, b bigint").distinct()
 
     def ordered(x: Column, y: Column) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
@@ -267,11 +259,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     part = graph.components(links)
 
     # Every class's smallest id, and every component's.
-    least = own.where("size > 0").groupBy("c").agg(F.min("_id").alias("_own"))
-    smallest = part.join(least.withColumnRenamed("c", "node"), "node")
+    least = own.where("size > 0").groupBy("c", "c2").agg(F.min("_id").alias("_own"))
+    smallest = part.join(least.groupBy("c").agg(F.min("_own").alias("_own")).withColumnRenamed("c", "node"), "node")
     smallest = part.join(smallest.groupBy("component").agg(F.min("_own").alias("_reached")), "component").select(F.col("node").alias("c"), "_reached")
-    reached = least.join(smallest, "c", "left").select("c", F.coalesce("_reached", "_own").alias("_component"))
-    member = own.drop("bins").join(reached.hint("merge"), "c", "left")
+    reached = least.join(smallest, "c", "left").select("c", "c2", F.coalesce("_reached", "_own").alias("_component"))
+    member = own.drop("bins").join(reached.hint("merge"), ["c", "c2"], "left")
     real = lambda x: F.when(x != LEAST, x)
     member = member.select(real(F.col("_id")).alias(id_col), "_th", F.col("size").alias("n_shingles"), F.col("c").alias("class"), real(F.coalesce("_component", "_id")).alias("component_id"))
     return member, links
