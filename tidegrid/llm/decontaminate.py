@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -267,16 +268,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = f"_id {kind}, _item {item_kind}, start bigint, end bigint, edits bigint"
     out = docs.sparkSession.createDataFrame([], schema)
     for index in blocks(benchmark, item_col, item_text_col, edits):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+        # With its classes, so that executors need not have the package.
+        sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
 
         def run(batches, sent=sent):
             import pyarrow as pa
 
+            index = cloudpickle.loads(sent.value)
             for batch in batches:
-                found = [(first + t, *rest) for first, texts in _chunks(batch.column(1).to_pylist()) for t, *rest in matches(texts, sent.value)]
+                found = [(first + t, *rest) for first, texts in _chunks(batch.column(1).to_pylist()) for t, *rest in matches(texts, index)]
                 if found:
                     at, item, *numbers = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([sent.value.ids[i] for i in item]), *(pa.array(x, pa.int64()) for x in numbers)], names=["_id", "_item", "start", "end", "edits"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([index.ids[i] for i in item]), *(pa.array(x, pa.int64()) for x in numbers)], names=["_id", "_item", "start", "end", "edits"])
 
         out = out.unionByName(rows.mapInArrow(run, schema))
     return out.withColumnsRenamed({"_id": id_col, "_item": item_col})
@@ -287,15 +290,17 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
     runtime.prepare(docs, __name__)
     at = docs.columns.index(text_col)
     for index in blocks(benchmark, item_col, item_text_col, edits):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+        # With its classes, so that executors need not have the package.
+        sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
 
         def run(batches, sent=sent):
             import pyarrow as pa
 
+            index = cloudpickle.loads(sent.value)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for first, texts in _chunks(batch.column(at).to_pylist()):
-                    keep[[first + m[0] for m in matches(texts, sent.value)]] = False
+                    keep[[first + m[0] for m in matches(texts, index)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
