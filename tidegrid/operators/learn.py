@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import vectors
+from tidegrid.operators import ship
 from tidegrid.operators.series import gap_fill
 
 #: The side that is sent to all tasks is checked against this before it is broadcast.
@@ -66,6 +67,7 @@ def nearest(test: DataFrame, train: DataFrame, key: str, vector: str, order: str
     Each test row meets each training row, as the method asks for, by matrix products.  Training vectors of up to ``BROADCAST_BYTES`` go to all
     tasks, and nothing is shuffled.  More of them are dealt into blocks by their hash, as test rows are; blocks meet blocks, and each row's best of
     a block is kept: minima combine before the shuffle."""
+    ship.by_value(__name__)
     spark = test.sparkSession
     t = train.select(F.col(order).cast("bigint").alias("_o"), F.col(label).alias("_l"), F.col(vector).cast("array<double>").alias("_v"))
     rows, width = t.agg(F.count("*"), F.max(F.size("_v"))).first()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidegrid.operators import kernels, ship
 from tidegrid.operators.kernels import streaks
 
 
@@ -38,6 +39,7 @@ def detect(readings: DataFrame, keys: list[str], ts: str, t: str, value: str, la
     """Runs in a stream of clock readings: a key's readings are kept until it has been quiet, then scanned as the batch operator does.
 
     State is one stretch of readings per key, which the quiet period bounds."""
+    ship.by_value(__name__, kernels.__name__)
     names = [*keys, "t_origin", "final", "t_last"]
     schema = ", ".join(f"{k} {readings.schema[k].dataType.simpleString()}" for k in keys) + ", t_origin double, final double, t_last double"
 
