@@ -130,17 +130,22 @@ def sparse_rows(batches):
 
 
 def train(rows: list[tuple[int, bytes, bytes]], dim: int = 8, epochs: int = 8, rate: float = 0.4, batch: int = 16, seed: int = 5) -> Model:
-    """Gradient descent on the cross entropy of the softmax over the mean vector."""
+    """Gradient descent on the cross entropy of the softmax over the mean vector.  Empties ``rows``, so that features are held once."""
     random = np.random.default_rng(seed)
     labels = np.array([r[0] for r in rows], np.int64)
     if len(rows) == 0 or labels.min() == labels.max():
         share = labels.mean() if len(rows) else 0.5
         return Model(np.zeros(FEATURES, np.int32), float(np.clip(np.log(max(share, 1e-6) / max(1 - share, 1e-6)), -4, 4)))
     docs = []
-    for _, ids, counts in rows:
+    rows.reverse()
+    while rows:  # what is read is let go
+        _, ids, counts = rows.pop()
         weight = np.frombuffer(counts, np.uint32).astype(np.float32)
-        docs.append((np.frombuffer(ids, np.uint32), weight / max(weight.sum(), 1)))
-    table = random.uniform(-1 / dim, 1 / dim, (FEATURES, dim)).astype(np.float32)
+        weight /= max(weight.sum(), 1)
+        docs.append((np.frombuffer(ids, np.uint32), weight))
+    table = np.empty((FEATURES, dim), np.float32)
+    for a in range(0, FEATURES, 1 << 14):
+        table[a : a + (1 << 14)] = random.uniform(-1 / dim, 1 / dim, (min(1 << 14, FEATURES - a), dim))
     out, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
     steps, done = epochs * len(docs), 0
     scale = 1 / np.sqrt(np.mean([np.dot(w, w) for _, w in docs if len(w)] or [1]))  # vectors of few common features move as fast as those of many
@@ -191,8 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         if held > max_bytes:
             break
         last = h
-    rows = rows.where(F.col("_h") <= last).collect() if last is not None else []
-    return train(sorted((r.label, bytes(r.features), bytes(r.counts)) for r in rows), seed=seed)
+    # One part after another, so that neither the JVM nor Python holds more than one beside what is kept.
+    found = rows.where(F.col("_h") <= last).select("label", "features", "counts").coalesce(16).toLocalIterator() if last is not None else ()
+    return train(sorted((r.label, bytes(r.features), bytes(r.counts)) for r in found), seed=seed)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_at: float | None = None) -> DataFrame:
