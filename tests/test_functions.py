@@ -22,6 +22,25 @@ def test_significant_of_missing(spark):
     assert one(spark, nulls.significant(F.lit(None).cast("double"))) == "nan" and one(spark, nulls.significant(F.lit(float("nan")))) == "nan"
 
 
+def test_significant_digits_near_and_at_ties(spark):
+    values = [106180.5 / 997.0, 106.5, 107.5, -106.5, 0.125, 1.125, 1.375, 2.675, 1.005, 0.00012345, 99950.0, 9.995, 9.9951, 1e-7, 1.235e22, 1.5e300, 1e-300, float("inf"), float("-inf")]
+    values += [k / 100 / 997.0 for k in range(9_000_000, 10_800_000, 997)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", *(nulls.significant(F.col("v"), n).alias(f"d{n}") for n in (1, 3, 5))).collect()
+    assert [(r.v, n, r[f"d{n}"]) for r in rows for n in (1, 3, 5) if r[f"d{n}"] != f"{r.v:.{n}g}"] == []
+
+
+def test_significant_digits_of_prices_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    from tidegrid import queries
+
+    rows = [(1, 1, 106180.5), (1, 2, None), (1, 3, 0.0), (1, 4, float("nan")), (1, 5, float("inf")), (1, 6, -106180.5), (1, 7, 901.0), (1, 8, 1e-9)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_extendedprice double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = queries.QUERIES["flt10_significant_digits"](spark, str(tmp_path)).collect()
+    want = duckdb.sql(f"WITH lineitem AS (SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet') " + queries.SQL["flt10_significant_digits"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) and dict((r[1], r[2]) for r in got)[1] == "106"
+
+
 def test_missing_values(spark):
     df = nulls.nan_to_null(spark.createDataFrame([(1, float("nan")), (2, 1.5)], "k int, v double"))
     assert [r.v for r in df.orderBy("k").collect()] == [None, 1.5]

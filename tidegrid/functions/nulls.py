@@ -37,12 +37,19 @@ def round_floats(df: DataFrame, places: int, only: list[str] | None = None) -> D
 
 
 def significant(x: Column, digits: int = 3) -> Column:
-    """``x`` as text with so many significant digits, as C's %g writes it: no trailing zeros, and exponents under 1e-4 and from 10**digits."""
+    """``x`` as text with so many significant digits, as C's %g writes it: no trailing zeros, and exponents under 1e-4 and from 10**digits.
+
+    Subnormal numbers with fewer digits of their own than asked for are written with those."""
     # The exponent of the rounded number tells which form is shorter; the plain form is the rounded number itself, as a decimal.
-    scientific = F.format_string(f"%.{digits - 1}e", x)
-    exponent = F.regexp_extract(scientific, "e([+-][0-9]+)$", 1).cast("int")
+    # DecimalFormat rounds the double's exact value, ties to even, as C does; %e in Java rounds its shortest decimal form, ties up.
+    scientific = F.call_function("format_number", x, F.lit("0." + "0" * (digits - 1) + "E0" if digits > 1 else "0E0"))
+    exponent = F.regexp_extract(scientific, "E(-?[0-9]+)$", 1).cast("int")
     plain = scientific.cast("decimal(38, 12)").cast("string")
     strip = lambda s: F.regexp_replace(s, "[.]0+$|(?<=[.][0-9]{0,12}[1-9])0+$", "")
-    mantissa = strip(F.regexp_extract(scientific, "^(.*)e", 1))
-    power = F.regexp_extract(scientific, "(e.*)$", 1)
-    return F.when(x.isNull() | F.isnan(x), F.lit("nan")).when(x == 0, F.lit("0")).when(exponent.between(-4, digits - 1), strip(plain)).otherwise(F.concat(mantissa, power))
+    mantissa = strip(F.regexp_extract(scientific, "^(.*)E", 1))
+    power = F.format_string("e%+03d", exponent)
+    infinite = F.abs(x) == F.lit(float("inf"))
+    return (
+        F.when(x.isNull() | F.isnan(x), F.lit("nan")).when(infinite, F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(x == 0, F.lit("0")).when(exponent.between(-4, digits - 1), strip(plain)).otherwise(F.concat(mantissa, power))
+    )

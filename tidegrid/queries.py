@@ -178,7 +178,8 @@ def flt9_verdict(spark, sf):
 
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice = 0 THEN '0' ELSE printf('%.3g', l_extendedprice / 997.0::DOUBLE) END AS text FROM lineitem""")
 def flt10_significant_digits(spark, sf):
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", nulls.significant(F.col("l_extendedprice") / 997.0).alias("text"))
+    price = F.col("l_extendedprice")
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(price.isNotNull(), nulls.significant(price / 997.0)).alias("text"))
 
 
 @query(f"""WITH {EVENTS} SELECT event_id, round(least(abs(value * 3.6 - 40) % 180, 180 - abs(value * 3.6 - 40) % 180), 6) AS d FROM e""")
