@@ -265,3 +265,17 @@ def test_a_failed_group_fails_the_job_or_goes_on(spark):
     assert [tuple(r) for r in kernels.failures(found, ["k"]).collect()] == [("b", "ValueError('broken')")]
     with pytest.raises(Exception, match="broken"):
         kernels.sound(found).collect()
+
+
+def test_tracker_is_linear_in_frames(spark):
+    import time
+
+    many = 30_000
+    rows = spark.range(many).select(F.lit(1).alias("run_id"), F.col("id").cast("int").alias("frame"), F.explode(F.sequence(F.lit(0), F.lit(1))).alias("number"))
+    x = F.lit(100.0) + 400 * F.col("number") + F.col("frame") * 3.0
+    rows = rows.select("*", x.alias("hx"), F.lit(300.0).alias("hy"), (x + 5).alias("sx"), F.lit(240.0).alias("sy"), F.lit(True).alias("sure"), (x - 30).alias("x0"), F.lit(200.0).alias("y0"), (x + 30).alias("x1"), F.lit(400.0).alias("y1"))
+    rows = rows.select("*", F.lit(False).alias("off"), (F.col("number") * 4).alias("inside"), F.lit(10.0).alias("k0"), F.lit(many - 1).alias("last"))
+    start = time.time()
+    got = kernels.sound(kernels.track_bodies(rows, ["run_id"])).select("frame", "number").collect()
+    assert sorted(map(tuple, got)) == [(k, 1) for k in range(many)]
+    assert time.time() - start < 8
