@@ -99,3 +99,33 @@ def test_rare_words_score_below_frequent_ones(spark):
     docs = frame(spark, [(k, t, None, None, None) for k, t in enumerate([*texts, known, odd])])
     out = {r.doc_id: r.mean_log_prob for r in lm_score.score(docs, lm_score.fit(docs.where("doc_id < 300"))).collect()}
     assert out[300] > out[301] + 1
+
+
+def test_softmax_of_few_and_of_very_large_weights():
+    random = np.random.default_rng(5)
+    h = np.tanh(random.standard_normal((9000, 16))).astype(np.float32)
+    at = random.integers(0, 40, len(h))
+    for size, safe in ((0.5, True), (200.0, False)):
+        weights, bias = (random.standard_normal((16, 40)) * size).astype(np.float32), random.standard_normal(40).astype(np.float32)
+        want = lm_score.log_softmax((h @ weights + bias).astype(np.float64))[np.arange(len(h)), at]
+        assert lm_score.safe(weights, bias) == safe
+        assert np.allclose(lm_score.log_softmax_at(h, weights, bias, at), want, atol=1e-2 if size > 1 else 1e-4)
+        assert np.allclose(lm_score.softmax(h, weights, bias).sum(1), 1, atol=1e-4)
+
+
+def test_classes_learn_in_bands_as_one_by_one():
+    random = np.random.default_rng(6)
+    classes, many = 40, 2048
+    net = lm_score.initial(np.arange(classes * classes, 0, -1) ** 2, 3)
+    tokens = np.minimum(random.zipf(1.2, many), classes * classes) - 1
+    near = random.integers(0, classes * classes + 1, (4, many))
+    want = {k: v.copy() for k, v in net.items()}
+    lm_score.learn(net, tokens, near, 1.0)
+    h, (g, w) = lm_score.hidden(want, near), np.divmod(tokens, classes)
+    sizes = np.bincount(g, minlength=classes)
+    assert [len(x) for x in lm_score.bands(sizes)][-1] == 1 and sorted(np.concatenate(lm_score.bands(sizes))) == np.flatnonzero(sizes).tolist()
+    for c in np.flatnonzero(sizes):
+        own, x = min(lm_score.REACH / many, 0.5 / sizes[c]), h[g == c]
+        q = np.exp(lm_score.log_softmax(x @ want["to_token"][c] + want["token_bias"][c]))
+        q[np.arange(len(x)), w[g == c]] -= 1
+        assert np.allclose(net["to_token"][c], want["to_token"][c] - own * (x.T @ q), atol=1e-5) and np.allclose(net["token_bias"][c], want["token_bias"][c] - own * q.sum(0), atol=1e-5)

@@ -138,18 +138,54 @@ def beside(tokens: np.ndarray, first: np.ndarray, edge: int, at: np.ndarray | No
 
 
 def hidden(net: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
-    out = net["table"][0][near[0]] + net["start"]
+    out = net["table"][0].take(near[0], axis=0)
+    out += net["start"]
     for k in range(1, 2 * SIDE):
-        out += net["table"][k][near[k]]
+        out += net["table"][k].take(near[k], axis=0)
     return np.tanh(out, out=out)
 
 
 def log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
+    logits -= logits.max(-1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(-1, keepdims=True))
     return logits
 
 
+def safe(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether the exponential of no logit can over- or underflow: hidden values are between -1 and 1.  Else the largest has to be taken off first."""
+    return bool(np.abs(weights).max() * weights.shape[-2] + np.abs(bias).max() < 60)
+
+
+def softmax(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    logits = h @ weights
+    logits += bias
+    if not safe(weights, bias):
+        return np.exp(log_softmax(logits))
+    out = np.exp(logits, out=logits)
+    out /= (out @ np.ones(out.shape[-1], np.float32))[..., None]
+    return out
+
+
+def log_softmax_at(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: int = 4096) -> np.ndarray:
+    """Each row's logarithm of the softmax at one place.  Few rows at a time stay in the processor's cache."""
+    out, is_safe, ones = np.empty(len(h), np.float64), safe(weights, bias), np.ones(len(bias), np.float32)
+    for a in range(0, len(h), rows):
+        logits = h[a : a + rows] @ weights
+        logits += bias
+        row, place = np.arange(len(logits)), at[a : a + rows]
+        if is_safe:
+            own = logits[row, place]
+            out[a : a + rows] = own - np.log(np.exp(logits, out=logits) @ ones)
+        else:
+            out[a : a + rows] = log_softmax(logits)[row, place]
+    return out
+
+
+def sorted_rows(values: np.ndarray) -> np.ndarray:
+    """A stable argsort along the last axis; numbers of 16 bits are sorted by radix."""
+    return np.argsort(values.astype(np.uint16) if values.size and values.max() < 1 << 16 else values, axis=-1, kind="stable")
+
+
 def log_probabilities(net: dict[str, np.ndarray], tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Each token's log-probability, given the tokens beside it."""
     out = np.empty(len(tokens), np.float64)
@@ -158,17 +194,23 @@ def log_probabilities(net: dict[str, np.ndarray], tokens: np.ndarray, first: np.
         at = np.arange(a, min(len(tokens), a + (1 << 16)))
         h = hidden(net, beside(tokens, first, classes * in_class, at))
         group, inner = np.divmod(tokens[at].astype(np.int64), in_class)
-        value = log_softmax(h @ net["to_class"] + net["class_bias"])[np.arange(len(at)), group].astype(np.float64)
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(classes + 1))
-        for c in range(classes):
-            some = order[edges[c] : edges[c + 1]]
-            if len(some):
-                value[some] += log_softmax(h[some] @ net["to_token"][c] + net["token_bias"][c])[np.arange(len(some)), inner[some]]
-        out[at] = value
+        order = sorted_rows(group)
+        h, group, inner = h[order], group[order], inner[order]
+        value = log_softmax_at(h, net["to_class"], net["class_bias"], group)
+        edges = np.searchsorted(group, np.arange(classes + 1))
+        for c in np.flatnonzero(np.diff(edges)):
+            i, j = edges[c], edges[c + 1]
+            value[i:j] += log_softmax_at(h[i:j], net["to_token"][c], net["token_bias"][c], inner[i:j])
+        out[at[order]] = value
     return out
 
 
+def bands(many: np.ndarray, most: tuple[int, ...] = (0, 8, 32, 128)) -> list[np.ndarray]:
+    """The classes with targets, those of like numbers of targets together; each with very many alone."""
+    alike = [np.flatnonzero((many > low) & (many <= high)) for low, high in zip(most, most[1:], strict=False)]
+    return [x for x in alike if len(x)] + [np.array([c]) for c in np.flatnonzero(many > most[-1])]
+
+
 def learn(net: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, rate: float, batch: int = 2048) -> None:
     """One pass of gradient descent over the given targets and their neighbours, in place.
 
@@ -179,33 +221,44 @@ def learn(net: dict[str, np.ndarray], tokens: np.ndarray, near: np.ndarray, rate
     table = net["table"].reshape(-1, dim)
     group, inner = np.divmod(tokens.astype(np.int64), in_class)
     for a in range(0, len(tokens), batch):
-        order = np.argsort(group[a : a + batch], kind="stable")
+        order = sorted_rows(group[a : a + batch])
         n, g, w = near[:, a : a + batch][:, order], group[a : a + batch][order], inner[a : a + batch][order]
-        row = np.arange(len(g))
         step = rate / len(g)
-        h = hidden(net, n)
-        p = np.exp(log_softmax(h @ net["to_class"] + net["class_bias"]))
-        p[row, g] -= 1
-        back = p @ net["to_class"].T
+        # One row more, of zeros, which fills up classes with fewer targets than their band's most.
+        h = np.zeros((len(g) + 1, dim), np.float32)
+        h[:-1] = hidden(net, n)
+        p = softmax(h[:-1], net["to_class"], net["class_bias"])
+        p[np.arange(len(g)), g] -= 1
+        back = np.zeros_like(h)
+        back[:-1] = p @ net["to_class"].T
         edges = np.searchsorted(g, np.arange(classes + 1))
-        for c in np.flatnonzero(np.diff(edges)):
-            i, j = edges[c], edges[c + 1]
-            q = np.exp(log_softmax(h[i:j] @ net["to_token"][c] + net["token_bias"][c]))
-            q[row[: j - i], w[i:j]] -= 1
-            back[i:j] += q @ net["to_token"][c].T
-            own = min(step * REACH, rate / 2 / (j - i))
-            net["to_token"][c] -= own * (h[i:j].T @ q)
-            net["token_bias"][c] -= own * q.sum(0)
+        many = np.diff(edges)
+        for c in bands(many):
+            place = np.arange(many[c].max())
+            real = place < many[c][:, None]
+            at = np.where(real, edges[c][:, None] + place, len(g))
+            x, weights = h.take(at, axis=0), net["to_token"][c]
+            q = softmax(x, weights, net["token_bias"][c][:, None])
+            k, i = np.nonzero(real)
+            q[k, i, w[at[k, i]]] -= 1
+            q[~real] = 0
+            back[at] += q @ weights.transpose(0, 2, 1)
+            own = np.minimum(step * REACH, rate / 2 / many[c]).astype(np.float32)
+            net["to_token"][c] = weights - own[:, None, None] * (x.transpose(0, 2, 1) @ q)
+            net["token_bias"][c] -= own[:, None] * q.sum(1)
+        h, back = h[:-1], back[:-1]
         net["to_class"] -= step * (h.T @ p)
         net["class_bias"] -= step * p.sum(0)
         back *= 1 - h * h
         net["start"] -= step * back.sum(0)
         # Sums by place and token: sorted, then added in runs, which is faster than adding at indices.
-        key = (n + (np.arange(places) * width)[:, None]).ravel()
-        order = np.argsort(key, kind="stable")
-        seen, first, many = np.unique(key[order], return_index=True, return_counts=True)
-        own = np.minimum(step * REACH, rate / 2 / many).astype(np.float32)
-        table[seen] -= own[:, None] * np.add.reduceat(back[order % len(g)], first, axis=0)
+        order = sorted_rows(n)
+        key = (np.take_along_axis(n, order, 1) + (np.arange(places) * width)[:, None]).ravel()
+        first = np.append(0, np.flatnonzero(np.diff(key)) + 1)
+        own = np.minimum(step * REACH, rate / 2 / np.diff(first, append=len(key))).astype(np.float32)
+        # Two numbers are added as one complex number, in half the steps.
+        sums = np.add.reduceat(back.take(order.ravel(), axis=0).view(np.complex64), first, axis=0).view(np.float32)
+        table[key[first]] -= own[:, None] * sums
 
 
 def tokenise(token, stride: int):
