@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -40,3 +41,10 @@ def test_no_labels(spark):
     ones = quality.quality_digest(docs, labels.where("quality = 1")).collect()
     assert all(r.score > 0.9 for r in ones)
     assert quality.quality_digest(frame(spark, []), labels).collect() == []
+
+
+def test_training_is_not_in_the_driver(spark, monkeypatch):
+    docs, labels = corpus(spark, 40)
+    monkeypatch.setattr(quality, "train", lambda rows, seed=5: quality.Model(np.full(quality.FEATURES, len(rows)), float(os.getpid())))
+    model = quality.fitted_on(docs, labels)
+    assert model.bias != os.getpid() and model.weights[0] == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(40))

@@ -170,6 +170,20 @@ def train(rows: list[tuple[int, bytes, bytes]], dim: int = 8, epochs: int = 8, r
     return Model(np.rint(lean * FIXED).astype(np.int64), float(bias[1] - bias[0]))
 
 
+def train_in_task(seed: int):
+    """The model of all rows of a partition, in the order of their values."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        rows = [row for batch in batches for row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
+        rows.sort()
+        model = train(rows, seed=seed)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype(np.int64).tobytes()], pa.binary()), pa.array([model.bias])], names=["weights", "bias"])
+
+    return run
+
+
 def score_texts(texts: list[str], model: Model) -> np.ndarray:
     total, count = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     for number, at in features(texts):
@@ -196,9 +210,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         if held > max_bytes:
             break
         last = h
-    # One part after another, so that neither the JVM nor Python holds more than one beside what is kept.
-    found = rows.where(F.col("_h") <= last).select("label", "features", "counts").coalesce(16).toLocalIterator() if last is not None else ()
-    return train(sorted((r.label, bytes(r.features), bytes(r.counts)) for r in found), seed=seed)
+    if last is None:
+        return train([], seed=seed)
+    # One task trains, so that the driver holds the fitted table and none of the features.
+    found = rows.where(F.col("_h") <= last).select("label", "features", "counts").coalesce(1).mapInArrow(train_in_task(seed), "weights binary, bias double").first()
+    return Model(np.frombuffer(bytes(found.weights), np.int64), found.bias)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_at: float | None = None) -> DataFrame:
