@@ -97,3 +97,23 @@ def test_every_match_has_a_word_of_each_set():
             mine = set(licenses.bigrams(" ".join(own)))
             if mine and 2 * len(mine & set(grams)) / (len(mine) + len(grams)) >= 0.8:
                 assert all(set(s) & set(own) for s in sets)
+
+
+def test_dice_alone(spark, monkeypatch):
+    import random
+
+    rng, data = random.Random(4), []
+    for k, (_, text) in enumerate(licenses.TEMPLATES):
+        own = text.split()
+        for _ in range(max(1, len(own) // 12)):
+            own.insert(rng.randrange(len(own)), "zzz") if rng.random() < 0.5 else own.pop(rng.randrange(len(own)))
+        data.append((k, " ".join(own) if k % 2 else wrapped(" ".join(own)), None, None, None))
+    data += [(99, MIT.replace("hereby ", ""), None, None, None), (100, "nothing of the kind", None, None, None), (101, None, None, None, None)]
+    columns = ("doc_id", "line", "word", "license", "dice")
+    order = lambda rows: sorted(map(tuple, rows), key=lambda r: tuple(map(str, r)))
+    with_keys = values(licenses.scan_licenses(frame(spark, data)), *columns)
+    assert order(with_keys) == order(brute(data)) and all(r[0] != 99 for r in with_keys)
+    got = values(licenses.scan_licenses(frame(spark, data), keys=frozenset(), never={}), *columns)
+    monkeypatch.setattr(licenses, "KEYS", frozenset())
+    monkeypatch.setattr(licenses, "NEVER", {})
+    assert order(got) == order(brute(data)) and {r[3] for r in got if r[0] == 99} == {"MIT"}

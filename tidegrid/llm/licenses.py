@@ -157,54 +157,56 @@ def may_match(text: Column, required: list[list[list[str]]]) -> Column:
     return F.exists(F.array(F.array(*(text.contains(w) for w in words_))), some) if words_ else F.lit(bool(required))
 
 
-def keys_of(grams: list[str]) -> tuple[str, ...]:
-    return tuple(sorted(KEYS & set(grams)))
+def keys_of(grams: list[str], keys: frozenset[str] = KEYS) -> tuple[str, ...]:
+    return tuple(sorted(keys & set(grams)))
 
 
-def may_hold(unit: Column, known: list[tuple]) -> Column:
+def may_hold(unit: Column, known: list[tuple], keys: frozenset[str] = KEYS) -> Column:
     """The numbers of the templates whose keys a unit has; ``unit`` is its words with a blank before, between and after."""
     by_keys: dict[tuple[str, ...], list[int]] = {}
     for k, _, own, *_ in known:
-        by_keys.setdefault(keys_of(own), []).append(k)
-    some = [F.when(reduce(lambda x, y: x & y, (unit.contains(f" {g} ") for g in keys), F.lit(True)), F.array(*map(F.lit, numbers))) for keys, numbers in sorted(by_keys.items())]
+        by_keys.setdefault(keys_of(own, keys), []).append(k)
+    some = [F.when(reduce(lambda x, y: x & y, (unit.contains(f" {g} ") for g in asked), F.lit(True)), F.array(*map(F.lit, numbers))) for asked, numbers in sorted(by_keys.items())]
     return F.flatten(F.array_compact(F.array(*some))) if some else F.array().cast("array<int>")
 
 
-def has_words(text: Column, known: list[tuple], threshold: float) -> Column:
+def has_words(text: Column, known: list[tuple], threshold: float, keys: frozenset[str] = KEYS) -> Column:
     """Whether a lower-cased text has all words of some template's keys; for a template without keys, the words that the bound asks for."""
-    every = {tuple(sorted({w for g in keys_of(own) for w in g.split()}, key=lambda w: (-len(w), w))) for _, _, own, *_ in known}
-    some = may_match(text, required_words([own for _, _, own, *_ in known if not keys_of(own)], threshold)) if () in every else F.lit(False)
+    every = {tuple(sorted({w for g in keys_of(own, keys) for w in g.split()}, key=lambda w: (-len(w), w))) for _, _, own, *_ in known}
+    some = may_match(text, required_words([own for _, _, own, *_ in known if not keys_of(own, keys)], threshold)) if () in every else F.lit(False)
     for first in sorted({words_[0] for words_ in every if words_}):
         rest = (reduce(lambda x, y: x & y, (text.contains(w) for w in words_[1:]), F.lit(True)) for words_ in sorted(every) if words_ and words_[0] == first)
         some = some | (text.contains(first) & reduce(lambda x, y: x | y, rest))
     return some
 
 
-def prepared(templates: list[tuple[str, str]]) -> list[tuple]:
+def prepared(templates: list[tuple[str, str]], keys: frozenset[str] = KEYS, never: dict[str, tuple[str, ...]] = NEVER) -> list[tuple]:
     """(number, license, bigrams, words, step of windows, [(bigram, its number, role)]) of templates with bigrams.
 
     Roles: 0 is shared or not, 1 must be shared, 2 must not be there (and isn't one of the template's)."""
     out = []
     for k, (name, text) in enumerate(templates):
         own, size = bigrams(text), len(words(text))
-        never = [g for g in NEVER.get(name, ()) if g not in own]
+        others = [g for g in never.get(name, ()) if g not in own]
         if own:
-            out.append((k, name, own, size, max(1, size // 10), [(g, i, int(g in KEYS)) for i, g in enumerate(own)] + [(g, len(own) + i, 2) for i, g in enumerate(never)]))
+            out.append((k, name, own, size, max(1, size // 10), [(g, i, int(g in keys)) for i, g in enumerate(own)] + [(g, len(own) + i, 2) for i, g in enumerate(others)]))
     return out
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, threshold: float = 0.8) -> DataFrame:
-    """A row for each unit that matches: the id, line (from 0; -1 for the whole text, -2 for a window), word (a window's first, else -1), license and dice."""
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, threshold: float = 0.8, keys: frozenset[str] = KEYS, never: dict[str, tuple[str, ...]] = NEVER) -> DataFrame:
+    """A row for each unit that matches: the id, line (from 0; -1 for the whole text, -2 for a window), word (a window's first, else -1), license and dice.
+
+    Without ``keys`` and ``never`` Dice alone decides, and versions of a license are told apart by no more than that."""
     templates = TEMPLATES if templates is None else templates
     blocks = [templates[i : i + BLOCK_TEMPLATES] for i in range(0, max(1, len(templates)), BLOCK_TEMPLATES)]
-    scores = reduce(DataFrame.unionByName, (_scores(pick(docs, id_col, text_col).toDF("_id", "_text"), prepared(b), threshold) for b in blocks))
+    scores = reduce(DataFrame.unionByName, (_scores(pick(docs, id_col, text_col).toDF("_id", "_text"), prepared(b, keys, never), threshold, keys) for b in blocks))
     lines = scores.where(F.col("line") > WINDOW).groupBy("_id", "line").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license", "word")).alias("_best"))
     windows = scores.where(F.col("line") == WINDOW).groupBy("_id", "line", "license").agg(F.min(F.struct((-F.col("dice")).alias("d"), "word", "license")).alias("_best")).select("_id", "line", F.struct("_best.d", "_best.license", "_best.word").alias("_best"))
     best = lines.unionByName(windows)
     return best.select(F.col("_id").alias(id_col), F.col("line").cast("long").alias("line"), F.col("_best.word").cast("long").alias("word"), F.col("_best.license").alias("license"), F.round(-F.col("_best.d"), 6).alias("dice"))
 
 
-def _scores(docs: DataFrame, known: list[tuple], threshold: float) -> DataFrame:
+def _scores(docs: DataFrame, known: list[tuple], threshold: float, keys: frozenset[str]) -> DataFrame:
     """_id, line, word, license and dice of what reaches the threshold."""
     spark = docs.sparkSession
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
@@ -222,7 +224,7 @@ def _scores(docs: DataFrame, known: list[tuple], threshold: float) -> DataFrame:
             pairs = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda x, y: F.concat_ws(" ", x, y))
             pairs = F.array_distinct(pairs) if distinct else pairs
             grams_ = once(pairs, lambda g: F.struct((F.size(g) + (0 if distinct else 1)).alias("size"), F.transform(g, lambda x, i: F.struct(x.alias("gram"), (F.lit(0) if distinct else i).alias("at"))).alias("grams")))
-            able = once(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), lambda x: may_hold(x, known))
+            able = once(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), lambda x: may_hold(x, known, keys))
             return F.when(F.size(w) >= 2, once(able, lambda t: F.when(F.size(t) > 0, F.struct(t.alias("able"), grams_.alias("own")))))
 
         return once(F.filter(F.split(F.btrim(text_), " +"), lambda w: w != ""), from_words)
@@ -235,7 +237,7 @@ def _scores(docs: DataFrame, known: list[tuple], threshold: float) -> DataFrame:
 
     # Texts that lack the words of every template are dropped before they are split, and then units.
     text = F.coalesce(F.col("_text"), F.lit(""))
-    some = F.exists(F.array(F.lower(text)), lambda low_: has_words(low_, known, threshold))
+    some = F.exists(F.array(F.lower(text)), lambda low_: has_words(low_, known, threshold, keys))
     lines = F.split(F.regexp_replace(F.lower(text), "[^a-z0-9\\n]+", " "), "\n")
     units = docs.where(some).select("_id", F.xxhash64("_text").alias("_same"), F.explode(once(lines, units_of)).alias("_unit"))
     units = units.select("_id", "_same", F.col("_unit.line").alias("line"), F.col("_unit.found.able").alias("_able"), F.col("_unit.found.own.size").alias("_size"), F.col("_unit.found.own.grams").alias("_grams"))
